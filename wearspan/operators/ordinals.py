@@ -48,7 +48,7 @@ def series_bounds(
     )
 
 
-def running_offsets(sizes: DataFrame, entity: str, count: str, partitions: int = 64) -> DataFrame:
+def running_offsets(sizes: DataFrame, entity: str, count: str) -> DataFrame:
     """Sum of `count` over all entities that sort before, as `offset`.
 
     Range-partition the entity table, total each partition, and shift every partition by the sum of
@@ -58,7 +58,7 @@ def running_offsets(sizes: DataFrame, entity: str, count: str, partitions: int =
     spark = sizes.sparkSession
     path = scratch_path(spark, "offsets")
     (
-        sizes.repartitionByRange(partitions, entity)
+        sizes.repartitionByRange(entity)
         .withColumn("_part", F.spark_partition_id())
         .write.parquet(path)
     )
@@ -71,7 +71,7 @@ def running_offsets(sizes: DataFrame, entity: str, count: str, partitions: int =
     inside = (
         Window.partitionBy("_part").orderBy(entity).rowsBetween(Window.unboundedPreceding, -1)
     )
-    # At most `partitions` rows are broadcast.
+    # One row per range partition: at most spark.sql.shuffle.partitions rows are broadcast.
     return (
         ranged.join(F.broadcast(shifts), "_part")
         .withColumn(

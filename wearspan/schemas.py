@@ -89,3 +89,13 @@ MODEL_SHAPES = T.StructType(
         T.StructField("scaler_features", T.IntegerType(), False),
     ]
 )
+SCALERS = T.StructType(
+    [
+        T.StructField("run_id", T.StringType()),
+        T.StructField("position", T.IntegerType()),
+        T.StructField("feature", T.StringType()),
+        T.StructField("mean", T.DoubleType()),
+        T.StructField("std", T.DoubleType()),
+        T.StructField("n", T.LongType()),
+    ]
+)
