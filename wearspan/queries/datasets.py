@@ -161,7 +161,7 @@ def _train_scaler(spark, sf_dir):
 @query(
     "dst_6_scaled_rows",
     f"""SELECT * FROM (WITH weighted AS ({_TRAIN_ROWS})
-SELECT global_unit, {', '.join(f'round(sum((CAST(CAST({c} AS FLOAT) AS DOUBLE) - m{i}) / CASE WHEN s{i} = 0 THEN 1 ELSE s{i} END), 3) AS {c}' for i, c in enumerate(VARYING))}
+SELECT global_unit, {', '.join(f'round(sum(CAST(CAST((CAST(CAST({c} AS FLOAT) AS DOUBLE) - m{i}) / CASE WHEN s{i} = 0 THEN 1 ELSE s{i} END AS FLOAT) AS DOUBLE)), 3) AS {c}' for i, c in enumerate(VARYING))}
 FROM lab, {_SCALER} GROUP BY global_unit)""",
     ("lab", "placed"),
 )
@@ -176,8 +176,8 @@ def scaled_rows(spark, sf_dir):
 @query(
     "jn_4_scaled_windows",
     f"""SELECT * FROM (WITH weighted AS ({_TRAIN_ROWS})
-SELECT engine_id, count(*) AS windows, round(sum((CAST(readings[1][1] AS DOUBLE) - m0) / s0), 3) AS oldest,
-       round(sum((CAST(readings[30][4] AS DOUBLE) - m3) / s3), 3) AS newest
+SELECT engine_id, count(*) AS windows, round(sum(CAST(CAST((CAST(readings[1][1] AS DOUBLE) - m0) / s0 AS FLOAT) AS DOUBLE)), 3) AS oldest,
+       round(sum(CAST(CAST((CAST(readings[30][4] AS DOUBLE) - m3) / s3 AS FLOAT) AS DOUBLE)), 3) AS newest
 FROM win, {_SCALER} GROUP BY engine_id)""",
     ("win", "placed"),
 )
