@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wearspan.operators.blocks import (
     OFFSET,
+    BlockPlan,
     SplitPolicy,
     drop_block_columns,
     plan_blocks,
@@ -24,9 +25,10 @@ def series_ordinal(
     order_by: list[str],
     name: str,
     policy: SplitPolicy | None = None,
+    plan: BlockPlan | None = None,
 ) -> DataFrame:
     """1-based position of each row in its series: rank inside a block plus the block's offset."""
-    plan = plan_blocks(df, entity, order_by[0], policy=policy)
+    plan = plan or plan_blocks(df, entity, order_by[0], policy=policy)
     routed = route(df, plan)
     inside = Window.partitionBy(*plan.partition_keys).orderBy(*order_by)
     numbered = routed.withColumn(

@@ -21,22 +21,22 @@ def feature_vector(windows: DataFrame, state: ScalerState, flat: str) -> DataFra
     )
 
 
-def class_probabilities(scored: DataFrame) -> Column:
-    """Probability array over the fixed classes; a class the model never saw gets 0."""
-    raw = vector_to_array("probability")
-    return F.transform(
-        F.array(*[F.lit(k) for k in range(len(CLASS_NAMES))]),
-        lambda k: F.coalesce(F.get(raw, k), F.lit(0.0)),
-    )
-
-
 def score_windows(windows: DataFrame, model, state: ScalerState, flat: str) -> DataFrame:
-    """Add `probabilities` (array) and `predicted` (class index)."""
-    scored = model.transform(feature_vector(windows, state, flat))
+    """Add `probabilities` (array over the fixed classes) and `predicted` (class index).
+
+    Only the probability column is asked of the model, and it is read once: the model is one call
+    per row. Classes above the highest one in training get 0.
+    """
+    quiet = model.copy().setRawPredictionCol("").setPredictionCol("")
+    scored = quiet.transform(feature_vector(windows, state, flat))
+    probabilities = vector_to_array("probability")
+    missing = len(CLASS_NAMES) - model.numClasses
+    if missing > 0:
+        probabilities = F.concat(probabilities, F.array(*[F.lit(0.0)] * missing))
     return (
-        scored.withColumn("probabilities", class_probabilities(scored))
+        scored.withColumn("probabilities", probabilities)
         .withColumn("predicted", argmax(F.col("probabilities")))
-        .drop(VECTOR, "rawPrediction", "probability", "prediction")
+        .drop(VECTOR, "probability")
     )
 
 

@@ -94,6 +94,10 @@ def indexed_windows(
     plan = plan_blocks(rows, ENTITY, CYCLE, halo=window - 1, policy=policy)
     # Joined to the rows, not to the windows, which are `window` times as wide.
     routed = route(attach(rows, starts, ENTITY), plan, with_halo=True)
+    # Windows are `window` times larger than their rows, which adaptive coalescing cannot see: an
+    # explicit partition count keeps the configured parallelism. It is the only shuffle of the rows.
+    partitions = int(clean.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    routed = routed.repartition(partitions, *plan.partition_keys)
     spec = Window.partitionBy(*plan.partition_keys).orderBy(*order_columns(features))
     frame = spec.rowsBetween(1 - window, Window.currentRow)
     # Halo rows precede the block's own rows, so the running count of own rows is the position.

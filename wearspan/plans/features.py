@@ -8,7 +8,7 @@ from datetime import UTC, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wearspan.operators.blocks import SplitPolicy
+from wearspan.operators.blocks import SplitPolicy, plan_blocks
 from wearspan.operators.contracts import LABELED_TELEMETRY, RAW_TELEMETRY, Contract, check
 from wearspan.operators.labeling import (
     drop_duplicate_rows,
@@ -19,7 +19,7 @@ from wearspan.operators.labeling import (
 from wearspan.operators.sampling import select_engines
 from wearspan.operators.windows import indexed_windows, require_windows, stamped_windows
 from wearspan.params import JobParams
-from wearspan.schemas import LINE_COLUMNS
+from wearspan.schemas import CYCLE, ENTITY, LINE_COLUMNS
 from wearspan.session import written
 from wearspan.sources.tables import read_windows, write_manifest, write_windows
 from wearspan.sources.text import read_telemetry
@@ -47,15 +47,23 @@ def clean_rows(
     """Contract, engine sample, labels, contract, deduplication, flat sensors.
 
     Deduplicated rows are written once: the flat-sensor pass, the engine sizes and the window build
-    all read them, each with its own columns. Both contracts are counted during passes that happen
-    anyway.
+    all read them, each with its own columns. The failures of both contracts are counted by that
+    write. Only with an engine sample does the raw contract take a pass of its own, because it
+    covers the engines left out as well.
     """
     checked = check(raw, contract)
-    accepted = checked.enforce().drop("token_count")
-    sampled = select_engines(accepted, params.max_engines, params.seed)
-    labeled = check(label_telemetry(sampled, policy=policy), LABELED_TELEMETRY)
+    if params.max_engines and params.max_engines > 0:
+        accepted, raw_watch = checked.enforce(), None
+        accepted = select_engines(accepted, params.max_engines, params.seed)
+        plan = plan_blocks(accepted, ENTITY, CYCLE, policy=policy)
+    else:
+        plan = plan_blocks(checked.rows, ENTITY, CYCLE, policy=policy)
+        accepted, raw_watch = checked.observed()
+    labeled = check(label_telemetry(accepted.drop("token_count"), plan=plan), LABELED_TELEMETRY)
     rows, watch = labeled.observed()
     deduplicated = written(drop_duplicate_rows(rows), "clean")
+    if raw_watch is not None:
+        checked.raise_for(raw_watch)
     labeled.raise_for(watch)
     return drop_flat(deduplicated)
 

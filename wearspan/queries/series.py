@@ -17,13 +17,20 @@ from wearspan.operators.windows import (
 )
 from wearspan.queries.catalog import VARYING, query
 from wearspan.schemas import CYCLE, ENTITY, LABEL
-from wearspan.sources.bindings import event_feed, labeled, telemetry, with_copies
+from wearspan.sources.bindings import (
+    event_feed,
+    labeled,
+    labeled_series,
+    telemetry,
+    with_copies,
+)
 
 AS_OF = datetime(2024, 6, 1)
 
 
 def windows_of_30(spark, sf_dir):
-    return sliding_windows(labeled(spark, sf_dir), 30, VARYING)
+    rows, plan = labeled_series(spark, sf_dir, halo=29)
+    return sliding_windows(rows, 30, VARYING, plan=plan)
 
 
 def indexed_clean(spark, sf_dir):

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wearspan.operators.blocks import SplitPolicy
+from wearspan.operators.blocks import BlockPlan, SplitPolicy, order_key, plan_blocks
 from wearspan.operators.labeling import label_telemetry
 from wearspan.operators.ordinals import series_ordinal
 from wearspan.schemas import CYCLE, ENTITY
@@ -34,12 +34,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def numbered_lines(
-    spark: SparkSession, sf_dir: str, policy: SplitPolicy | None = None
-) -> DataFrame:
+def line_plan(spark: SparkSession, sf_dir: str, policy: SplitPolicy | None = None) -> BlockPlan:
+    return plan_blocks(
+        table(spark, sf_dir, "lineitem"), "l_suppkey", LINE_ORDER[0], policy=policy
+    )
+
+
+def numbered_lines(spark: SparkSession, sf_dir: str, plan: BlockPlan | None = None) -> DataFrame:
     """`lineitem` plus the 1-based cycle of each line in its supplier's series."""
     return series_ordinal(
-        table(spark, sf_dir, "lineitem"), "l_suppkey", LINE_ORDER, CYCLE, policy=policy
+        table(spark, sf_dir, "lineitem"), "l_suppkey", LINE_ORDER, CYCLE, plan=plan
     )
 
 
@@ -47,12 +51,12 @@ def telemetry(
     spark: SparkSession,
     sf_dir: str,
     keep: tuple[str, ...] = (),
-    policy: SplitPolicy | None = None,
+    plan: BlockPlan | None = None,
 ) -> DataFrame:
     """Raw telemetry: keys, three settings, four varying sensors and a flat one."""
     dataset = F.concat(F.lit("FD00"), (F.col("l_suppkey") % 4 + 1).cast("string"))
     unit = F.col("l_suppkey") + 1
-    return numbered_lines(spark, sf_dir, policy).select(
+    return numbered_lines(spark, sf_dir, plan).select(
         unit.alias("unit_number"),
         CYCLE,
         F.col("l_linenumber").cast("double").alias("op_setting_1"),
@@ -69,8 +73,29 @@ def telemetry(
     )
 
 
+def labeled_series(
+    spark: SparkSession,
+    sf_dir: str,
+    keep: tuple[str, ...] = (),
+    halo: int = 0,
+    policy: SplitPolicy | None = None,
+) -> tuple[DataFrame, BlockPlan]:
+    """Labeled telemetry and the block plan of its engines.
+
+    A supplier is an engine, so the size check of the line items also answers for the engines: only
+    when some supplier is long are the engines' own cycles cut.
+    """
+    lines = line_plan(spark, sf_dir, policy)
+    rows = telemetry(spark, sf_dir, keep, lines)
+    if lines.long_series is None:
+        plan = BlockPlan(ENTITY, order_key(rows, CYCLE))
+    else:
+        plan = plan_blocks(rows, ENTITY, CYCLE, halo=halo, policy=policy)
+    return label_telemetry(rows, plan=plan), plan
+
+
 def labeled(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> DataFrame:
-    return label_telemetry(telemetry(spark, sf_dir, keep))
+    return labeled_series(spark, sf_dir, keep)[0]
 
 
 def with_copies(rows: DataFrame) -> DataFrame:
