@@ -33,9 +33,21 @@ def comparable(columns, rows):
     return sorted((tuple(value(row[i]) for i in order) for row in rows), key=repr)
 
 
+BANNED = (
+    "CartesianProduct",
+    "BroadcastNestedLoopJoin",
+    "BatchEvalPython",
+    "ArrowEvalPython",
+    "MapInPandas",
+    "FlatMapGroups",
+)
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, oracle, small_dir, name):
     df = QUERIES[name](spark, small_dir)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert [b for b in BANNED if b in plan] == []
     cursor = oracle.execute(ORACLES[name])
     columns = [d[0] for d in cursor.description]
     assert sorted(df.columns) == sorted(columns)

@@ -2,19 +2,15 @@
 
 from __future__ import annotations
 
-import pytest
 from helpers import CLEAN, uneven_series
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from wearspan.operators.blocks import SplitPolicy, plan_blocks
 from wearspan.operators.labeling import label_telemetry
 from wearspan.operators.windows import sliding_windows
-from wearspan.queries import QUERIES
 from wearspan.sources.bindings import labeled_series, table
 
-EAGER = {"trn_1_training_run", "trn_2_candidate_history", "scr_1_champion_scoring"}
-
-
 def physical(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -59,8 +55,10 @@ def test_filters_and_columns_reach_the_scan(spark, small_dir):
     assert "ReadSchema: struct<l_suppkey:bigint,l_discount:double>" in text
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - EAGER))
-def test_no_python_and_no_product_joins(spark, small_dir, name):
-    text = physical(QUERIES[name](spark, small_dir))
-    for banned in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroups"):
-        assert banned not in text, banned
+def test_scaler_edges_are_limited_before_the_shuffle(spark, small_dir):
+    rows = table(spark, small_dir, "lineitem")
+    spec = Window.partitionBy("l_suppkey").orderBy("l_shipdate", "l_quantity")
+    edges = rows.withColumn("i", F.row_number().over(spec)).filter("i < 30")
+    text = physical(edges)
+    assert text.count("WindowGroupLimit") == 2
+    assert text.index("WindowGroupLimit") < text.index("Exchange") < text.rindex("WindowGroupLimit")

@@ -8,6 +8,7 @@ from wearspan.operators.ordinals import digest_rank
 from wearspan.operators.sampling import (
     select_engines,
     split_leaks,
+    split_rule,
     split_three_ways,
     split_two_ways,
 )
@@ -111,3 +112,15 @@ def test_digest_rank_equals_a_global_sort(spark):
         assert {r["k"]: r["r"] for r in got if r["s"] == stratum} == {
             k: i + 1 for i, k in enumerate(keys)
         }
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 20, 333])
+def test_split_rule_equals_the_split_table(spark, n):
+    table = split_three_ways(engines(spark, n), 0.3, 0.25, 9)
+    rule = split_rule(engines(spark, n), 0.3, 0.25, 9)
+    by_rule = rule.assigned(engines(spark, n), "global_unit")
+    assert sorted(map(tuple, by_rule.collect())) == sorted(map(tuple, table.collect()))
+    for split in ("train", "val", "test"):
+        part = rule.part(engines(spark, n), "global_unit", split)
+        assert part.count() == table.filter(F.col("split") == split).count()
+    assert "Exchange" not in by_rule._jdf.queryExecution().executedPlan().toString()

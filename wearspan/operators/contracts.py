@@ -10,7 +10,7 @@ import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
 from wearspan.functions.arrays import first_row_failing, has_shape, is_finite, is_rectangular
@@ -216,12 +216,7 @@ class Checked:
 
     def failure_counts(self) -> DataFrame:
         """(check, rows) for broken checks, from one aggregate over the rows."""
-        counts = self.rows.agg(
-            *[
-                F.count_if(F.array_contains(VIOLATIONS, name)).alias(f"_c{i}")
-                for i, name in enumerate(self.names)
-            ]
-        )
+        counts = self.rows.agg(*self._failure_columns())
         entries = F.array(
             *[
                 F.struct(F.lit(name).alias("check"), F.col(f"_c{i}").alias("rows"))
@@ -230,33 +225,35 @@ class Checked:
         )
         return counts.select(F.inline(entries)).filter(F.col("rows") > 0)
 
-    def observed(self) -> tuple[DataFrame, Observation]:
-        """The rows with failure counts measured by whatever action runs on them next."""
-        watch = Observation()
-        rows = self.rows.observe(
-            watch,
-            *[
-                F.count_if(F.array_contains(VIOLATIONS, name)).alias(f"_c{i}")
-                for i, name in enumerate(self.names)
-            ],
-        )
-        return rows.drop(VIOLATIONS), watch
+    def measure(self, *measures: Column) -> Row:
+        """One pass: the given aggregates and the failure counts."""
+        return self.rows.agg(*measures, *self._failure_columns()).first()
 
-    def raise_for(self, watch: Observation) -> None:
-        measured = watch.get
-        broken = {
-            name: measured[f"_c{i}"]
+    def _failure_columns(self) -> list[Column]:
+        return [
+            F.count_if(F.array_contains(VIOLATIONS, name)).alias(f"_c{i}")
             for i, name in enumerate(self.names)
-            if measured.get(f"_c{i}")
+        ]
+
+    def raise_for_counts(self, measured: Row | dict) -> None:
+        counts = measured.asDict() if isinstance(measured, Row) else measured
+        broken = {
+            name: counts[f"_c{i}"] for i, name in enumerate(self.names) if counts.get(f"_c{i}")
         }
         if broken:
             raise ContractError(self.contract.name, broken)
 
+    def observed(self) -> tuple[DataFrame, Observation]:
+        """The rows with failure counts measured by whatever action runs on them next."""
+        watch = Observation()
+        return self.rows.observe(watch, *self._failure_columns()).drop(VIOLATIONS), watch
+
+    def raise_for(self, watch: Observation) -> None:
+        self.raise_for_counts(watch.get)
+
     def enforce(self) -> DataFrame:
         """The rows, or a `ContractError` that lists every broken check with its row count."""
-        broken = {r["check"]: r["rows"] for r in self.failure_counts().collect()}
-        if broken:
-            raise ContractError(self.contract.name, broken)
+        self.raise_for_counts(self.measure())
         return self.rows.drop(VIOLATIONS)
 
 

@@ -6,6 +6,9 @@ Only the engine table is ranked; rows meet the result through a join.
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -101,6 +104,57 @@ def split_three_ways(
     )
 
 
+@dataclass(frozen=True)
+class SplitRule:
+    """A three-way split as two digest cutoffs.
+
+    Ranks by digest are thresholds on the digest, so a row finds its split from its own engine id:
+    wide rows need neither a join nor a shuffle, however many engines there are. Without cutoffs
+    every split is the full set.
+    """
+
+    seed: int
+    cutoffs: tuple[str, str] | None
+
+    def column(self, engine: Column) -> Column:
+        test, val = self.cutoffs
+        digest = seeded_digest(self.seed, engine)
+        return F.when(digest <= test, "test").when(digest <= val, "val").otherwise("train")
+
+    def assigned(self, rows: DataFrame, key: str) -> DataFrame:
+        """Rows with their `split`; one copy per split when there are no cutoffs."""
+        if self.cutoffs is None:
+            return rows.withColumn("split", F.explode(F.array(*[F.lit(s) for s in SPLITS])))
+        return rows.withColumn("split", self.column(F.col(key)))
+
+    def part(self, rows: DataFrame, key: str, split: str) -> DataFrame:
+        if self.cutoffs is None:
+            return rows
+        return rows.filter(self.column(F.col(key)) == split)
+
+
+def split_rule(
+    engines: DataFrame,
+    val_split: float = 0.2,
+    test_split: float = 0.2,
+    seed: int = 42,
+    key: str = ENTITY,
+) -> SplitRule:
+    """The split of `split_three_ways` as a rule; two digests come back to the driver."""
+    check_fractions(val_split, test_split)
+    distinct = engines.select(key).distinct()
+    n = distinct.count()
+    if n < 3:
+        return SplitRule(seed, None)
+    test = math.ceil(test_split * n)
+    val = math.ceil(val_split / (1 - test_split) * (n - test))
+    digest = seeded_digest(seed, F.col(key))
+    ranked = digest_rank(distinct, digest, key, [], "_rank")
+    edges = ranked.filter(F.col("_rank").isin(test, test + val)).select("_rank", digest.alias("d"))
+    found = {r["_rank"]: r["d"] for r in edges.collect()}
+    return SplitRule(seed, (found[test], found[test + val]))
+
+
 def split_two_ways(
     engines: DataFrame, val_split: float = 0.2, seed: int = 42, key: str = ENTITY
 ) -> DataFrame:

@@ -12,14 +12,14 @@ from pyspark.sql import functions as F
 from wearspan.operators.lineage import fingerprint, lineage_tags
 from wearspan.operators.metrics import diagnostics, gate_metrics
 from wearspan.operators.registry import judge_challengers
-from wearspan.operators.sampling import SPLITS, split_sizes, split_three_ways
+from wearspan.operators.sampling import SPLITS, split_rule, split_sizes
 from wearspan.operators.scaling import ScalerState
 from wearspan.operators.selection import best_checkpoints, completed_steps, enforce_gate
 from wearspan.operators.training import candidate_history, evaluate
 from wearspan.operators.weights import class_weights, majority_class
 from wearspan.params import JobParams
 from wearspan.schemas import CLASS_NAMES
-from wearspan.session import attach, written
+from wearspan.session import written
 from wearspan.sources.ledger import Ledger
 from wearspan.sources.tables import (
     check_training_table,
@@ -59,22 +59,14 @@ def window_scaler(train: DataFrame, names: list[str]) -> DataFrame:
 
 
 def positioned(windows: DataFrame) -> DataFrame:
-    """Position of each window among those of its engine, by event time.
+    """Position of each window in the table, from its event time.
 
-    The event time carries the build's global index, ten seconds apart, so a window's position is
-    its distance from the engine's first event; no series is sorted.
+    The build spaces event times ten seconds apart in canonical order, so the distance from the
+    first one is the position: a scalar subquery, no sort and no join of the wide rows.
     """
-    first = written(
-        windows.groupBy("engine_id").agg(F.min("event_timestamp").alias("_first")), "first-event"
-    )
-    seconds = F.unix_micros(F.col("event_timestamp").cast("timestamp")) - F.unix_micros(
-        F.col("_first").cast("timestamp")
-    )
-    return (
-        attach(windows, first, "engine_id")
-        .withColumn("window_index", F.floor(seconds / 10_000_000))
-        .drop("_first")
-    )
+    micros = F.unix_micros(F.col("event_timestamp").cast("timestamp"))
+    first = windows.agg(F.min(micros)).scalar()
+    return windows.withColumn("window_index", F.floor((micros - first) / 10_000_000))
 
 
 def train_and_evaluate(
@@ -93,13 +85,10 @@ def train_and_evaluate(
         positioned(rows), names, params.val_split, params.test_split, params.seed
     ).first()["fingerprint"]
 
-    assignment = written(
-        split_three_ways(rows, params.val_split, params.test_split, params.seed, key="engine_id"),
-        "splits",
-    )
-    split_rows = attach(rows, assignment, "engine_id")
-    parts = {s: split_rows.filter(F.col("split") == s).drop("split") for s in SPLITS}
-    sizes = {r["split"]: r for r in split_sizes(split_rows).collect()}  # three rows
+    rule = split_rule(rows, params.val_split, params.test_split, params.seed, key="engine_id")
+    parts = {s: rule.part(rows, "engine_id", s) for s in SPLITS}
+    assigned = rule.assigned(rows.select("engine_id"), "engine_id")
+    sizes = {r["split"]: r for r in split_sizes(assigned).collect()}  # three rows
     scaler = window_scaler(parts["train"], names)
     state = ScalerState.of(scaler)
     weights = {r["class"]: r["weight"] for r in class_weights(parts["train"]).collect()}

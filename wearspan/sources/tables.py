@@ -72,14 +72,16 @@ def check_training_table(rows: DataFrame, features: list[str], window: int) -> D
 
     The expected length comes from the manifest, so a uniformly wrong table fails too.
     """
-    lengths = rows.agg(
-        F.min(F.size("windowed_features")).alias("low"), F.max(F.size("windowed_features")).alias("high")
-    ).first()
-    for length in (lengths["low"], lengths["high"]):
+    size = F.size("windowed_features")
+    checked = check(rows, training_batch(window * len(features)))
+    measured = checked.measure(F.min(size).alias("low"), F.max(size).alias("high"))
+    low, high = measured["low"], measured["high"]
+    for length in (low, high):
         if length is not None and length % window != 0:
             raise ValueError(f"array length {length} is not a multiple of the window {window}")
-    if lengths["low"] is not None and lengths["low"] == lengths["high"] != window * len(features):
+    if low is not None and low == high != window * len(features):
         raise ValueError(
-            f"the manifest names {len(features)} features and the table has {lengths['low'] // window}"
+            f"the manifest names {len(features)} features and the table has {low // window}"
         )
-    return check(rows, training_batch(window * len(features))).enforce()
+    checked.raise_for_counts(measured)
+    return rows
