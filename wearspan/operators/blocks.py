@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wearspan.session import written
@@ -36,6 +36,12 @@ class SplitPolicy:
     max_split_entities: int = 5_000
     cells_per_block: int = 16
 
+    @classmethod
+    def of(cls, spark: SparkSession) -> SplitPolicy:
+        """Defaults, with `spark.wearspan.rowsPerBlock` from the session when it is set."""
+        rows = spark.conf.get("spark.wearspan.rowsPerBlock", None)
+        return cls() if rows is None else cls(rows_per_block=int(rows))
+
 
 @dataclass(frozen=True)
 class BlockPlan:
@@ -75,7 +81,7 @@ def plan_blocks(
     `halo` is how many preceding rows a block must also see. It is counted in distinct key values,
     a lower bound of the rows, so the plan stays valid for `df` after exact duplicates are dropped.
     """
-    policy = policy or SplitPolicy()
+    policy = policy or SplitPolicy.of(df.sparkSession)
     key = order_key(df, order)
     sizes = df.groupBy(F.col(entity).alias("_e")).agg(F.count(F.lit(1)).alias("_n"))
     total, longest = sizes.agg(F.sum("_n"), F.max("_n")).first()
