@@ -22,6 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from wearspan.functions.times import epoch_micros
 from wearspan.session import written
 
 BLOCK = "_block"
@@ -63,7 +64,7 @@ def order_key(df: DataFrame, column: str) -> Column:
     if kind == "timestamp":
         return F.unix_micros(column)
     if kind == "timestamp_ntz":
-        return F.unix_micros(F.col(column).cast("timestamp"))
+        return epoch_micros(column)
     if kind in ("tinyint", "smallint", "int", "bigint"):
         return F.col(column).cast("long")
     raise TypeError(f"blocks need an integer or timestamp order column, {column} is {kind}")

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wearspan.functions.arrays import float_vector
+from wearspan.functions.times import wall_clock
 from wearspan.operators.blocks import (
     HALO,
     OFFSET,
@@ -115,18 +118,19 @@ def indexed_windows(
     )
 
 
-def stamped_windows(indexed: DataFrame, as_of: Column) -> DataFrame:
+def stamped_windows(indexed: DataFrame, as_of: datetime) -> DataFrame:
     """Window table rows: flat features and bookkeeping timestamps.
 
     Event time is `as_of` minus 23 hours plus ten seconds per global index.
     """
-    base = as_of.cast("timestamp_ntz") - F.expr("INTERVAL 23 HOURS")
+    created = wall_clock(as_of)
+    base = created - F.expr("INTERVAL 23 HOURS")
     return indexed.select(
         "engine_id",
         (base + F.make_dt_interval(secs=(F.col("global_index") * 10).cast("decimal(18,6)"))).alias(
             "event_timestamp"
         ),
-        as_of.cast("timestamp_ntz").alias("created_timestamp"),
+        created.alias("created_timestamp"),
         flatten_window(F.col("readings")).alias("windowed_features"),
         LABEL,
     )

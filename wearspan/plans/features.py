@@ -90,7 +90,7 @@ def write_features(
     spark = raw.sparkSession
     built = build_features(raw, params, contract)
     as_of = as_of or datetime.now(UTC).replace(tzinfo=None)
-    stamped = stamped_windows(built.windows, F.lit(as_of))
+    stamped = stamped_windows(built.windows, as_of)
     path = write_windows(stamped, data_dir, params.window_size * len(built.names))
     try:
         read_windows(spark, data_dir)

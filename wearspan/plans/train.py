@@ -9,6 +9,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wearspan.functions.times import epoch_micros
 from wearspan.operators.lineage import fingerprint, lineage_tags
 from wearspan.operators.metrics import diagnostics, gate_metrics
 from wearspan.operators.registry import judge_challengers
@@ -64,7 +65,7 @@ def positioned(windows: DataFrame) -> DataFrame:
     The build spaces event times ten seconds apart in canonical order, so the distance from the
     first one is the position: a scalar subquery, no sort and no join of the wide rows.
     """
-    micros = F.unix_micros(F.col("event_timestamp").cast("timestamp"))
+    micros = epoch_micros("event_timestamp")
     first = windows.agg(F.min(micros)).scalar()
     return windows.withColumn("window_index", F.floor((micros - first) / 10_000_000))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wearspan.functions.arrays import is_finite
+from wearspan.functions.times import epoch_micros
 from wearspan.operators.contracts import (
     LABELED_TELEMETRY,
     RAW_TELEMETRY,
@@ -166,11 +167,14 @@ def _damaged_windows(spark, sf_dir):
     """Window table rows, some with a short array, a blank engine or an unknown class."""
     end = F.col("end_cycle")
     windows = windows_of_30(spark, sf_dir).withColumn("global_index", end)
-    stamped = stamped_windows(windows.withColumn("_end", end), F.lit(AS_OF))
-    index = F.unix_micros(F.col("event_timestamp").cast("timestamp")) - F.unix_micros(
-        F.lit(AS_OF).cast("timestamp")
+    stamped = stamped_windows(windows, AS_OF)
+    seconds = F.expr("(_micros - _created) div 1000000 + 82800")
+    stamped = (
+        stamped.withColumn("_micros", epoch_micros("event_timestamp"))
+        .withColumn("_created", epoch_micros("created_timestamp"))
+        .withColumn("_cycle", (seconds / 10).cast("long"))
     )
-    cycle = ((index / 1000000 + 82800) / 10).cast("long")
+    cycle = F.col("_cycle")
     return stamped.withColumns(
         {
             "windowed_features": F.when(
@@ -179,7 +183,7 @@ def _damaged_windows(spark, sf_dir):
             "engine_id": F.when(cycle % 41 == 0, "").otherwise(F.col("engine_id")),
             LABEL: F.when(cycle % 43 == 0, 7).otherwise(F.col(LABEL)),
         }
-    )
+    ).drop("_micros", "_created", "_cycle")
 
 
 _WINDOW_FAILURES = """SELECT "check", n AS rows FROM (

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wearspan.functions.digests import seeded_digest
+from wearspan.functions.times import epoch_micros
 from wearspan.operators.ordinals import digest_rank
 from wearspan.operators.sampling import (
     engine_table,
@@ -240,7 +241,7 @@ def feature_build(spark, sf_dir):
         F.count(F.lit(1)).alias("windows"),
         F.sum(F.size("windowed_features")).alias("floats"),
         F.sum(newest).alias("newest"),
-        F.min(F.unix_micros(F.col("event_timestamp").cast("timestamp"))).alias("first_event"),
+        F.min(epoch_micros("event_timestamp")).alias("first_event"),
     )
 
 

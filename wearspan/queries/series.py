@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from wearspan.functions.times import epoch_micros
 from wearspan.operators.labeling import clean_telemetry, drop_duplicate_rows, drop_flat
 from wearspan.operators.ordinals import series_bounds, series_ordinal
 from wearspan.operators.windows import (
@@ -125,8 +126,8 @@ GROUP BY engine_id""",
     ("numbered",),
 )
 def event_times(spark, sf_dir):
-    stamped = stamped_windows(indexed_clean(spark, sf_dir), F.lit(AS_OF))
-    micros = F.unix_micros(F.col("event_timestamp").cast("timestamp"))
+    stamped = stamped_windows(indexed_clean(spark, sf_dir), AS_OF)
+    micros = epoch_micros("event_timestamp")
     return stamped.groupBy("engine_id").agg(
         F.min(micros).alias("first_event"),
         F.max(micros).alias("last_event"),

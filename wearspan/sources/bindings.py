@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wearspan.functions.times import epoch_micros
 from wearspan.operators.blocks import BlockPlan, SplitPolicy, order_key, plan_blocks
 from wearspan.operators.labeling import label_telemetry
 from wearspan.operators.ordinals import series_ordinal
@@ -114,7 +115,7 @@ def event_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def event_telemetry(events: DataFrame) -> DataFrame:
     return events.select(
         F.concat(F.lit("U_"), F.col("user_id").cast("string")).alias(ENTITY),
-        F.unix_micros(F.col("ts").cast("timestamp")).alias(CYCLE),
+        epoch_micros("ts").alias(CYCLE),
         F.col("value").alias("sensor_1"),
         F.get_json_object("props", "$.k").cast("double").alias("sensor_2"),
     )

@@ -107,8 +107,9 @@ def live_windows(feed: DataFrame, window: int, features: list[str]) -> DataFrame
 
 def live_distinct(feed: DataFrame, event_time: str, columns: list[str], lateness: str) -> DataFrame:
     """Exact duplicates within the watermark's delay are dropped; state expires with it."""
-    timed = feed.withColumn(event_time, F.col(event_time).cast("timestamp"))
-    return timed.withWatermark(event_time, lateness).dropDuplicatesWithinWatermark(columns)
+    timed = feed.withColumn("_event_time", F.col(event_time).cast("timestamp"))
+    kept = timed.withWatermark("_event_time", lateness).dropDuplicatesWithinWatermark(columns)
+    return kept.drop("_event_time")
 
 
 def drain(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
