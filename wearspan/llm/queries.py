@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wearspan.llm import packing
+from wearspan.llm import packing, pieces
 from wearspan.llm.frames import table
 
 VOCABULARY_FILE = "byte_bpe_50k.json"
+PIECE_FILE = "piece_bpe_32k.model"
 
 
 def vocabulary_path(name: str) -> str:
@@ -18,12 +19,18 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces_by_zipf = pieces.read_table(vocabulary_path(PIECE_FILE), zipf=True)
+    return pieces.tokens_and_round_trip(table(spark, sf_dir, "documents"), pieces_by_zipf)
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = packing.read_vocabulary(vocabulary_path(VOCABULARY_FILE))
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op9_best_fit_packing": op9_best_fit_packing,
 }
 
