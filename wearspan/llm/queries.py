@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wearspan.llm import packing, pieces
+from wearspan.llm import packing, pieces, secrets
 from wearspan.llm.frames import table
 
 VOCABULARY_FILE = "byte_bpe_50k.json"
@@ -29,9 +29,14 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary)
 
 
+def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_secret_scans": op10_secret_scans,
 }
 
 ORACLES: dict[str, str] = {}
