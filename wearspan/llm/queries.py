@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wearspan.llm import packing, pieces, secrets
+from wearspan.llm import packing, pieces, secrets, toxicity
 from wearspan.llm.frames import table
 
 VOCABULARY_FILE = "byte_bpe_50k.json"
@@ -24,6 +24,10 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.tokens_and_round_trip(table(spark, sf_dir, "documents"), pieces_by_zipf)
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = packing.read_vocabulary(vocabulary_path(VOCABULARY_FILE))
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary)
@@ -35,6 +39,7 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_toxicity": op2_toxicity,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_secret_scans": op10_secret_scans,
 }
