@@ -252,7 +252,11 @@ def secret_report(docs: DataFrame) -> DataFrame:
     """Per document: counts of the base kinds, digest of the base spans, and all spans as text."""
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     spans = F.col("secrets")
-    counts = [F.size(F.filter(spans, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS[:3]]
+
+    def of_kind(kind: str) -> Column:
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [of_kind(k) for k in KINDS[:3]]
     base = F.filter(spans, lambda s: s["kind"] != "literal")
     return find_secrets(slim, keep=["doc_id"]).select("doc_id", *counts, F.sha2(span_texts(base), 256).alias("base_sha256"), span_texts(spans).alias("spans"))
 
