@@ -17,6 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wearspan.llm.blocks import crowded, meetings, units
 from wearspan.llm.components import components
 from wearspan.llm.frames import chunks, saved, ship
 
@@ -133,6 +134,10 @@ def sketched(docs: DataFrame, p: NearParams) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n_shingles long, digest binary, sig array<long>, bands array<long>")
 
 
+def batch_of(found: list[tuple]) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(np.concatenate([f[i] for f in found])) for i in range(3)], ["a", "b", "cut"])
+
+
 def proposals(blocks: DataFrame, p: NearParams, most: int) -> DataFrame:
     """Pairs (a, b) of different components whose estimate passes, up to `most` per node and block, best
     first. `cut` tells that a node had more."""
@@ -156,21 +161,15 @@ def proposals(blocks: DataFrame, p: NearParams, most: int) -> DataFrame:
         return mask, over
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []  # rows of the group that may go on in the next batch
-        current = None
-
-        def pairs(group: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-            node = np.concatenate([g[0] for g in group])
-            comp = np.concatenate([g[1] for g in group])
-            block = np.concatenate([g[2] for g in group])
-            sig = np.concatenate([g[3] for g in group])
-            inner = current[1] == current[2]
-            left = np.flatnonzero(block == current[1])
-            right = left if inner else np.flatnonzero(block == current[2])
-            if not len(left) or not len(right) or (len(left) == 1 and inner):
-                return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, bool),)
+        found: list[tuple] = []
+        for left, right, inner, rows in units(batches, ["node", "comp", "sig"]):
+            if not len(left) or not len(right) or (inner and len(left) == 1):
+                continue
+            node, comp, sig = rows["node"], rows["comp"], rows["sig"].view(np.uint64)
             score = equal_parts(sig[left], sig[right])
             score[(score < p.least_equal) | (comp[left][:, None] == comp[right][None, :])] = 0
+            if not score.any():
+                continue
             mask, over = best(score)
             cut = np.repeat(over[:, None], len(right), 1)
             if not inner:
@@ -179,31 +178,12 @@ def proposals(blocks: DataFrame, p: NearParams, most: int) -> DataFrame:
                 cut |= over[None, :]
             i, j = np.nonzero(mask)
             a, b = node[left][i], node[right][j]
-            return np.minimum(a, b), np.maximum(a, b), cut[i, j]
-
-        def out(found: list[tuple]) -> pa.RecordBatch:
-            a, b, cut = (np.concatenate([f[i] for f in found]) for i in range(3))
-            return pa.record_batch([pa.array(a), pa.array(b), pa.array(cut)], ["a", "b", "cut"])
-
-        for batch in batches:
-            key, lo, hi = (batch.column(c).to_numpy() for c in ("key", "lo", "hi"))
-            node, comp, block = (batch.column(c).to_numpy() for c in ("node", "comp", "block"))
-            sig = batch.column("sig").flatten().to_numpy().view(np.uint64).reshape(len(key), -1)
-            change = np.flatnonzero((key[1:] != key[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])) + 1
-            found = []
-            for start, end in zip(np.r_[0, change], np.r_[change, len(key)], strict=True):
-                if start == end:
-                    continue
-                name = (key[start], lo[start], hi[start])
-                if name != current:
-                    if held:
-                        found.append(pairs(held))
-                    held, current = [], name
-                held.append((node[start:end], comp[start:end], block[start:end], sig[start:end]))
-            if found:
-                yield out(found)
-        if held:
-            yield out([pairs(held)])
+            found.append((np.minimum(a, b), np.maximum(a, b), cut[i, j]))
+            if len(found) == 2000:
+                yield batch_of(found)
+                found = []
+        if found:
+            yield batch_of(found)
 
     return blocks.mapInArrow(run, "a long, b long, cut boolean")
 
@@ -229,10 +209,7 @@ def near_components(docs: DataFrame, p: NearParams = NearParams()) -> DataFrame:
     heads = saved(named.join(classes, "digest").where("doc_id = node").select("node", "digest", "sig", "bands").dropDuplicates(["node", "digest"]).drop("digest"), "classes")
 
     spread = heads.select("node", F.explode("bands").alias("key"))
-    sizes = spread.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    count = F.ceil(F.col("n") / p.block)
-    members = spread.join(sizes, "key").select("key", "node", count.alias("count"), F.pmod(F.xxhash64("node", "key"), count).alias("block"))
-    members = saved(members.join(heads.select("node", "sig"), "node"), "members")
+    members = saved(crowded(spread, p.block).join(heads.select("node", "sig"), "node"), "members")
 
     code = F.xxhash64("digest")
     repeated = named.groupBy("doc_id").agg(F.min(code).alias("x"), F.max(code).alias("y")).where("x <> y").select("doc_id")
@@ -247,10 +224,7 @@ def near_components(docs: DataFrame, p: NearParams = NearParams()) -> DataFrame:
         else:
             placed = placed.join(reached.select(F.col("id").alias("node"), "component"), "node", "left")
             placed = placed.withColumn("comp", F.coalesce("component", "node"))
-        ends = F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1))
-        placed = placed.select("*", ends.alias("other")).select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "node", "comp", "block", "sig")
-        placed = placed.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
-        proposed = saved(proposals(placed, p, most).groupBy("a", "b").agg(F.max("cut").alias("cut")), "proposed")
+        proposed = saved(proposals(meetings(placed.select("key", "count", "block", "node", "comp", "sig")), p, most).groupBy("a", "b").agg(F.max("cut").alias("cut")), "proposed")
         new = proposed if tried is None else proposed.join(tried, ["a", "b"], "left_anti")
         if sets is None:
             wanted = proposed.select(F.col("a").alias("doc_id")).union(proposed.select("b")).distinct()
