@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wearspan.llm import minhash, packing, pieces, secrets, toxicity, vectors
+from wearspan.llm import minhash, packing, pages, pieces, secrets, toxicity, vectors
 from wearspan.llm.frames import table
 
 VOCABULARY_FILE = "byte_bpe_50k.json"
@@ -32,6 +32,10 @@ def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_components(table(spark, sf_dir, "documents"))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.page_texts(table(spark, sf_dir, "pages"))
+
+
 def op7_p_stable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -49,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_toxicity": op2_toxicity,
     "op4_minhash": op4_minhash,
+    "op5_html_extraction": op5_html_extraction,
     "op7_p_stable": op7_p_stable,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_secret_scans": op10_secret_scans,
