@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wearspan.llm import minhash, packing, pages, pieces, secrets, toxicity, vectors
+from wearspan.llm import minhash, packing, pages, pieces, secrets, sharding, toxicity, vectors
 from wearspan.llm.frames import table
 
 VOCABULARY_FILE = "byte_bpe_50k.json"
@@ -28,6 +28,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(table(spark, sf_dir, "documents"))
+
+
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_components(table(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_toxicity": op2_toxicity,
+    "op3_kd_sharding": op3_kd_sharding,
     "op4_minhash": op4_minhash,
     "op5_html_extraction": op5_html_extraction,
     "op7_p_stable": op7_p_stable,
