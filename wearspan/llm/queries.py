@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wearspan.llm import minhash, packing, pages, pieces, secrets, sharding, toxicity, vectors
+from wearspan.llm import minhash, packing, pages, personal, pieces, secrets, sharding, toxicity, vectors
 from wearspan.llm.frames import table
 
 VOCABULARY_FILE = "byte_bpe_50k.json"
@@ -44,6 +44,10 @@ def op7_p_stable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op8_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.personal_report(table(spark, sf_dir, "documents"))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = packing.read_vocabulary(vocabulary_path(VOCABULARY_FILE))
     return packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary)
@@ -60,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_minhash": op4_minhash,
     "op5_html_extraction": op5_html_extraction,
     "op7_p_stable": op7_p_stable,
+    "op8_bootstrapped_pii": op8_bootstrapped_pii,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_secret_scans": op10_secret_scans,
 }
