@@ -22,6 +22,11 @@ def small_star(edges: DataFrame) -> DataFrame:
     return tied.unionByName(least.select("a", F.col("m").alias("b")))
 
 
+def sized(df: DataFrame, rows: int, per_task: int = 100_000) -> DataFrame:
+    """At most one task for every `per_task` of the known number of rows."""
+    return df.coalesce(max(1, -(-rows // per_task)))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, component) of every node of `edges` (a, b); the component is its smallest node.
 
@@ -34,7 +39,8 @@ def components(edges: DataFrame) -> DataFrame:
     mark = F.struct(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")))
     before = current.agg(mark).first()[0]
     while before[0]:
-        current = saved(small_star(large_star(current)).distinct(), "edges")
+        n = before[0]  # a round makes no more edges than twice this
+        current = saved(sized(small_star(sized(large_star(current), 2 * n)).distinct(), 2 * n), "edges")
         after = current.agg(mark).first()[0]
         if after == before:
             break

@@ -27,13 +27,14 @@ GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 @dataclass(frozen=True)
 class NearParams:
-    """percent: linked if 100 * intersection >= percent * union; hashes: minima per document; bits kept
-    of each is 4; missed: largest chance that a pair at the threshold shares no band; sigmas: how far
+    """percent: linked if 100 * intersection >= percent * union; hashes: minima per document, of each 4 bits
+    are kept; fine: minima of documents that have candidates, of each one bit; missed: largest chance that a pair at the threshold shares no band; sigmas: how far
     below the threshold an estimate may lie and still be confirmed; block: signatures compared at once."""
 
     percent: int = 85
     words: int = 5
     hashes: int = 125
+    fine: int = 1024
     missed: float = 1e-6
     sigmas: float = 4.5
     block: int = 512
@@ -44,12 +45,12 @@ class NearParams:
         t = self.percent / 100
         return max([r for r in range(1, 9) if (1 - t**r) ** (self.hashes // r) <= self.missed], default=1)
 
-    @property
-    def least_equal(self) -> int:
-        """Equal signature parts from which a pair is confirmed."""
-        chance = 1 / 16
+    def least_equal(self, parts: int, bits: int) -> int:
+        """Equal signature parts of `bits` bits from which a pair is confirmed: the share expected at the
+        threshold, chance collisions included, less `sigmas` standard deviations."""
+        chance = 2.0**-bits
         equal = chance + (1 - chance) * self.percent / 100
-        return math.floor(self.hashes * equal - self.sigmas * math.sqrt(self.hashes * equal * (1 - equal)))
+        return math.floor(parts * equal - self.sigmas * math.sqrt(parts * equal * (1 - equal)))
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -84,28 +85,36 @@ def shingle_sets(texts: list[str | None], words: int) -> list[np.ndarray]:
     return out
 
 
-def signatures(sets: list[np.ndarray], p: NearParams) -> tuple[np.ndarray, np.ndarray]:
-    """Packed low bits (8 numbers per set for 125 minima) and band keys of nonempty sets."""
+def minima_of(sets: list[np.ndarray], hashes: int, seed: int) -> np.ndarray:
     flat, starts = np.concatenate(sets), np.cumsum([0] + [len(s) for s in sets[:-1]])
-    factors = np.random.default_rng(p.seed).integers(0, 2**63, p.hashes, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    minima = np.empty((len(sets), p.hashes), np.uint64)
+    factors = np.random.default_rng(seed).integers(0, 2**63, hashes, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    minima = np.empty((len(sets), hashes), np.uint64)
     work = np.empty_like(flat)
     for k, factor in enumerate(factors):
         np.multiply(flat, factor, out=work)
         minima[:, k] = np.minimum.reduceat(work, starts)
-    width = -(-p.hashes // 16)
-    packed = np.zeros((len(sets), width), np.uint64)
-    for k in range(p.hashes):
-        low = (minima[:, k] ^ (minima[:, k] >> np.uint64(32))) & np.uint64(15)
-        packed[:, k // 16] |= low << np.uint64(4 * (k % 16))
-    bands = p.hashes // p.rows
-    keys = np.zeros((len(sets), bands), np.uint64)
+    return minima
+
+
+def packed(minima: np.ndarray, bits: int) -> np.ndarray:
+    """The low bits of each minimum, packed into 64-bit numbers."""
+    each = 64 // bits
+    out = np.zeros((len(minima), -(-minima.shape[1] // each)), np.uint64)
+    for k in range(minima.shape[1]):
+        low = (minima[:, k] ^ (minima[:, k] >> np.uint64(32))) & np.uint64(2**bits - 1)
+        out[:, k // each] |= low << np.uint64(bits * (k % each))
+    return out
+
+
+def band_keys(minima: np.ndarray, rows: int) -> np.ndarray:
+    bands = minima.shape[1] // rows
+    keys = np.zeros((len(minima), bands), np.uint64)
     for b in range(bands):
-        key = np.full(len(sets), b + 1, np.uint64)
-        for k in range(b * p.rows, (b + 1) * p.rows):
+        key = np.full(len(minima), b + 1, np.uint64)
+        for k in range(b * rows, (b + 1) * rows):
             key = mixed(key * GOLDEN + minima[:, k])
         keys[:, b] = key
-    return packed, keys.view(np.int64)
+    return keys.view(np.int64)
 
 
 def lists(rows: np.ndarray) -> pa.Array:
@@ -125,7 +134,8 @@ def sketched(docs: DataFrame, p: NearParams) -> DataFrame:
                 sig = np.zeros((len(sets), -(-p.hashes // 16)), np.uint64)
                 keys = np.zeros((len(sets), p.hashes // p.rows), np.int64)
                 if full:
-                    sig[full], keys[full] = signatures([sets[i] for i in full], p)
+                    minima = minima_of([sets[i] for i in full], p.hashes, p.seed)
+                    sig[full], keys[full] = packed(minima, 4), band_keys(minima, p.rows)
                 yield pa.record_batch(
                     [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), lists(sig), lists(keys)],
                     ["doc_id", "n_shingles", "digest", "sig", "bands"],
@@ -135,57 +145,63 @@ def sketched(docs: DataFrame, p: NearParams) -> DataFrame:
 
 
 def batch_of(found: list[tuple]) -> pa.RecordBatch:
-    return pa.record_batch([pa.array(np.concatenate([f[i] for f in found])) for i in range(3)], ["a", "b", "cut"])
+    return pa.record_batch([pa.array(np.concatenate([f[i] for f in found])) for i in range(2)], ["a", "b"])
 
 
-def proposals(blocks: DataFrame, p: NearParams, most: int) -> DataFrame:
-    """Pairs (a, b) of different components whose estimate passes, up to `most` per node and block, best
-    first. `cut` tells that a node had more."""
+def proposals(blocks: DataFrame, p: NearParams, parts: int, bits: int, most: int | None) -> DataFrame:
+    """Pairs (a, b) of different components whose sizes and estimate allow a link, from the unit of their first
+    common band; with `most`, only that many per node and unit, best first."""
+    least = p.least_equal(parts, bits)
 
     def equal_parts(x: np.ndarray, y: np.ndarray) -> np.ndarray:
         differ = np.zeros((len(x), len(y)), np.int32)
         for w in range(x.shape[1]):
             d = x[:, w, None] ^ y[None, :, w]
-            d |= d >> np.uint64(1)
-            d |= d >> np.uint64(2)
-            differ += np.bitwise_count(d & LOW)
-        return p.hashes - differ
-
-    def best(score: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Mask of the best `most` positive cells of each row, and the rows that had more."""
+            if bits == 4:
+                d |= d >> np.uint64(1)
+                d |= d >> np.uint64(2)
+                d &= LOW
+            differ += np.bitwise_count(d)
+        return parts - differ
+
+    def best(score: np.ndarray) -> np.ndarray:
         mask = score > 0
-        over = mask.sum(1) > most
-        for i in np.flatnonzero(over):
-            mask[i] = False
-            mask[i, np.argsort(-score[i], kind="stable")[:most]] = True
-        return mask, over
+        if most is not None:
+            for i in np.flatnonzero(mask.sum(1) > most):
+                mask[i] = False
+                mask[i, np.argsort(-score[i], kind="stable")[:most]] = True
+        return mask
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[tuple] = []
-        for left, right, inner, rows in units(batches, ["node", "comp", "sig"]):
+        for left, right, inner, rows in units(batches, ["key", "node", "comp", "n", "sig", "bands"]):
             if not len(left) or not len(right) or (inner and len(left) == 1):
                 continue
-            node, comp, sig = rows["node"], rows["comp"], rows["sig"].view(np.uint64)
+            node, comp, n, sig, bands = rows["node"], rows["comp"], rows["n"], rows["sig"].view(np.uint64), rows["bands"]
             score = equal_parts(sig[left], sig[right])
-            score[(score < p.least_equal) | (comp[left][:, None] == comp[right][None, :])] = 0
+            small, large = np.minimum(n[left][:, None], n[right][None, :]), np.maximum(n[left][:, None], n[right][None, :])
+            score[(score < least) | (comp[left][:, None] == comp[right][None, :]) | (100 * small < p.percent * large)] = 0
+            band = int(np.flatnonzero(bands[left[0]] == rows["key"][0])[0])
+            i, j = np.nonzero(score)
+            for at in range(0, len(i), 65536) if band else ():
+                x, y = i[at : at + 65536], j[at : at + 65536]
+                met = (bands[left[x], :band] == bands[right[y], :band]).any(1)
+                score[x[met], y[met]] = 0
             if not score.any():
                 continue
-            mask, over = best(score)
-            cut = np.repeat(over[:, None], len(right), 1)
+            mask = best(score)
             if not inner:
-                other, over = best(np.ascontiguousarray(score.T))
-                mask |= other.T
-                cut |= over[None, :]
+                mask |= best(np.ascontiguousarray(score.T)).T
             i, j = np.nonzero(mask)
             a, b = node[left][i], node[right][j]
-            found.append((np.minimum(a, b), np.maximum(a, b), cut[i, j]))
+            found.append((np.minimum(a, b), np.maximum(a, b)))
             if len(found) == 2000:
                 yield batch_of(found)
                 found = []
         if found:
             yield batch_of(found)
 
-    return blocks.mapInArrow(run, "a long, b long, cut boolean")
+    return blocks.mapInArrow(run, "a long, b long").distinct()
 
 
 def near_components(docs: DataFrame, p: NearParams = NearParams()) -> DataFrame:
@@ -193,10 +209,10 @@ def near_components(docs: DataFrame, p: NearParams = NearParams()) -> DataFrame:
 
     Documents with equal shingle sets form one class, named by its smallest doc_id, before anything is
     compared. A bucket is compared in blocks of about `block` members, so no task holds a whole hot
-    bucket, and only the best few partners of a node in *other* components leave a block. Confirmed
-    links join components; then the rest is proposed again with eight times as many partners per node, until
-    no node had more to propose. So every candidate pair is either confirmed, refuted, or inside
-    one component already, and no bucket ever emits all its pairs.
+    bucket. First the two best partners of a node leave a block; the links confirmed among them join
+    components. Then every other candidate pair between *different* components is judged by a finer
+    signature and, if that allows a link, confirmed as well. So each candidate pair is confirmed, refuted, or
+    inside one component already, and no bucket emits all its pairs.
 
     NULL or empty texts and texts of blanks have no shingles and link with nothing. Rows that share a doc_id are one
     document with the links of all its texts. Rows without doc_id link with nothing and are kept.
@@ -206,41 +222,36 @@ def near_components(docs: DataFrame, p: NearParams = NearParams()) -> DataFrame:
     sketch = saved(sketched(slim, p), "sketches")
     named = sketch.where("digest IS NOT NULL AND doc_id IS NOT NULL")
     classes = named.groupBy("digest").agg(F.min("doc_id").alias("node"))
-    heads = saved(named.join(classes, "digest").where("doc_id = node").select("node", "digest", "sig", "bands").dropDuplicates(["node", "digest"]).drop("digest"), "classes")
+    heads = saved(named.join(classes, "digest").where("doc_id = node").select("node", "digest", F.col("n_shingles").alias("n"), "sig", "bands").dropDuplicates(["node", "digest"]).drop("digest"), "classes")
 
     spread = heads.select("node", F.explode("bands").alias("key"))
-    members = saved(crowded(spread, p.block).join(heads.select("node", "sig"), "node"), "members")
+    members = saved(crowded(spread, p.block), "members")
 
     code = F.xxhash64("digest")
     repeated = named.groupBy("doc_id").agg(F.min(code).alias("x"), F.max(code).alias("y")).where("x <> y").select("doc_id")
     own = named.select("doc_id", "digest").join(repeated, "doc_id").join(classes, "digest").select("doc_id", "node")
     links = saved(own.join(own.groupBy("doc_id").agg(F.min("node").alias("b")), "doc_id").select(F.col("node").alias("a"), "b").where("a <> b"), "own")
-    tried = reached = sets = None
-    most = 2
-    while True:
-        placed = members
-        if reached is None:
-            placed = placed.withColumn("comp", F.col("node"))
-        else:
-            placed = placed.join(reached.select(F.col("id").alias("node"), "component"), "node", "left")
-            placed = placed.withColumn("comp", F.coalesce("component", "node"))
-        proposed = saved(proposals(meetings(placed.select("key", "count", "block", "node", "comp", "sig")), p, most).groupBy("a", "b").agg(F.max("cut").alias("cut")), "proposed")
-        new = proposed if tried is None else proposed.join(tried, ["a", "b"], "left_anti")
-        if sets is None:
-            wanted = proposed.select(F.col("a").alias("doc_id")).union(proposed.select("b")).distinct()
-            sets = saved(full_sets(slim.join(wanted, "doc_id", "left_semi"), p), "sets")
-        first = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
-        second = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
+
+    def linked_pairs(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        """Pairs confirmed on the full sets."""
+        first = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
+        second = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
         both = F.size(F.array_intersect("x", "y"))
-        judged = new.select("a", "b").join(first, "a").join(second, "b")
-        judged = judged.select("a", "b", (100 * both >= p.percent * (F.size("x") + F.size("y") - both)).alias("linked"))
-        judged = saved(judged.groupBy("a", "b").agg(F.max("linked").alias("linked")), "judged")
-        links = links.unionByName(judged.where("linked").select("a", "b"))
-        reached = saved(components(links), "components")
-        if not proposed.where("cut").limit(1).count():
-            break
-        tried = judged.select("a", "b") if tried is None else tried.unionByName(judged.select("a", "b"))
-        most *= 8
+        judged = pairs.join(first, "a").join(second, "b")
+        return judged.where(100 * both >= p.percent * (F.size("x") + F.size("y") - both)).select("a", "b").distinct()
+
+    placed = members.join(heads, "node").withColumn("comp", F.col("node"))
+    near = saved(proposals(meetings(placed), p, p.hashes, 4, 2), "proposed")
+    wanted = near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct()
+    sets = saved(full_sets(slim.join(wanted, "doc_id", "left_semi"), p), "sets")
+    links = saved(links.unionByName(linked_pairs(near, sets)), "links")
+    reached = saved(components(links), "components")
+
+    finer = heads.drop("sig").join(sets.select("node", F.col("fine").alias("sig")), "node").join(reached.select(F.col("id").alias("node"), "component"), "node", "left")
+    finer = finer.withColumn("comp", F.coalesce("component", "node")).drop("component")
+    rest = proposals(meetings(members.join(finer, "node")), p, p.fine, 1, None).join(near, ["a", "b"], "left_anti")
+    links = links.unionByName(saved(linked_pairs(saved(rest, "proposed"), sets), "links"))
+    reached = saved(components(links), "components")
     roots = reached.select(F.col("id").alias("node"), "component")
     homes = classes.join(roots, "node", "left").select("digest", F.coalesce("component", "node").alias("component_id"))
     linked = named.select("doc_id", "n_shingles", "digest").join(homes, "digest").select("doc_id", "n_shingles", "component_id")
@@ -249,13 +260,19 @@ def near_components(docs: DataFrame, p: NearParams = NearParams()) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, p: NearParams) -> DataFrame:
+    """node, all shingles, and a finer signature of every document given."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in chunks(batch, "text"):
                 sets = shingle_sets(texts, p.words)
+                full = [i for i, s in enumerate(sets) if len(s)]
+                if not full:
+                    continue
+                sets = [sets[i] for i in full]
                 offsets = np.cumsum([0] + [len(s) for s in sets]).astype(np.int32)
-                values = pa.array(np.concatenate(sets).view(np.int64))
-                yield pa.record_batch([part.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets), values)], ["doc_id", "shingles"])
-
-    return docs.mapInArrow(run, "doc_id long, shingles array<long>")
+                shingles = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets).view(np.int64)))
+                fine = lists(packed(minima_of(sets, p.fine, p.seed + 1), 1))
+                yield pa.record_batch([part.column("doc_id").take(pa.array(full)), shingles, fine], ["node", "shingles", "fine"])
 
+    return docs.mapInArrow(run, "node long, shingles array<long>, fine array<long>")
