@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wearspan.llm import minhash, packing, pages, personal, pieces, secrets, sharding, toxicity, vectors
+from wearspan.llm import imatch, minhash, packing, pages, personal, pieces, secrets, sharding, toxicity, vectors
 from wearspan.llm.frames import table
 
 VOCABULARY_FILE = "byte_bpe_50k.json"
@@ -40,6 +40,10 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.page_texts(table(spark, sf_dir, "pages"))
 
 
+def op6_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op7_p_stable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -63,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_kd_sharding": op3_kd_sharding,
     "op4_minhash": op4_minhash,
     "op5_html_extraction": op5_html_extraction,
+    "op6_imatch": op6_imatch,
     "op7_p_stable": op7_p_stable,
     "op8_bootstrapped_pii": op8_bootstrapped_pii,
     "op9_best_fit_packing": op9_best_fit_packing,
