@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wearspan.llm.frames import chunks, fresh, ship
 
@@ -227,7 +228,7 @@ def encode(df: DataFrame, table: PieceTable, column: str = "text", to: str = "id
                 ids = id_lists([None if t is None else model.encode(t) for t in texts])
                 yield pa.record_batch([*part.columns, ids], [*part.schema.names, to])
 
-    return df.mapInArrow(run, df.schema.add(to, "array<int>"))
+    return df.mapInArrow(run, df.select("*").schema.add(to, T.ArrayType(T.IntegerType())))
 
 
 def decode(df: DataFrame, table: PieceTable, column: str = "ids", to: str = "decoded") -> DataFrame:
@@ -243,7 +244,7 @@ def decode(df: DataFrame, table: PieceTable, column: str = "ids", to: str = "dec
             texts = [None if ids is None else model.decode([i for i in ids if i is not None]) for ids in batch.column(column).to_pylist()]
             yield pa.record_batch([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, to])
 
-    return df.mapInArrow(run, df.schema.add(to, "string"))
+    return df.mapInArrow(run, df.select("*").schema.add(to, "string"))
 
 
 def tokens_and_round_trip(docs: DataFrame, table: PieceTable) -> DataFrame:
