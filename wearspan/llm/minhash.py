@@ -243,7 +243,8 @@ def near_components(docs: DataFrame, p: NearParams = NearParams()) -> DataFrame:
     placed = members.join(heads, "node").withColumn("comp", F.col("node"))
     near = saved(proposals(meetings(placed), p, p.hashes, 4, 2), "proposed")
     wanted = near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct()
-    sets = saved(full_sets(slim.join(wanted, "doc_id", "left_semi"), p), "sets")
+    # The wanted ids grow with the input: the join is by shuffle at every size, one shuffle of the texts.
+    sets = saved(full_sets(slim.join(wanted.hint("merge"), "doc_id", "left_semi"), p), "sets")
     links = saved(links.unionByName(linked_pairs(near, sets)), "links")
     reached = saved(components(links), "components")
 
