@@ -198,11 +198,28 @@ def request_reason() -> Column:
 
 @dataclass(frozen=True)
 class Checked:
-    """`rows` has coerced columns plus `violations`, an array of `column:check`."""
+    """A frame and the tests of a contract on it: names and predicates over its columns as they came.
+
+    `rows` has coerced columns plus `violations`, an array of `column:check`. Counts come straight from the
+    predicates and never build that array.
+    """
 
     contract: Contract
-    rows: DataFrame
-    names: tuple[str, ...]
+    source: DataFrame
+    tests: tuple[tuple[str, Column], ...]
+    coerced: dict[str, Column]
+
+    @property
+    def names(self) -> tuple[str, ...]:
+        return tuple(name for name, _ in self.tests)
+
+    @property
+    def rows(self) -> DataFrame:
+        broken = F.array(*[F.when(~F.coalesce(good, F.lit(False)), F.lit(name)) for name, good in self.tests])
+        return self._coerced(self.source.withColumn(VIOLATIONS, F.array_compact(broken)))
+
+    def _coerced(self, df: DataFrame) -> DataFrame:
+        return df.withColumns(self.coerced) if self.coerced else df
 
     def good(self) -> DataFrame:
         return self.rows.filter(F.size(VIOLATIONS) == 0).drop(VIOLATIONS)
@@ -216,7 +233,7 @@ class Checked:
 
     def failure_counts(self) -> DataFrame:
         """(check, rows) for broken checks, from one aggregate over the rows."""
-        counts = self.rows.agg(*self._failure_columns())
+        counts = self.source.agg(*self._failure_columns())
         entries = F.array(
             *[
                 F.struct(F.lit(name).alias("check"), F.col(f"_c{i}").alias("rows"))
@@ -226,13 +243,13 @@ class Checked:
         return counts.select(F.inline(entries)).filter(F.col("rows") > 0)
 
     def measure(self, *measures: Column) -> Row:
-        """One pass: the given aggregates and the failure counts."""
-        return self.rows.agg(*measures, *self._failure_columns()).first()
+        """One pass over the columns as they came: the given aggregates and the failure counts."""
+        return self.source.agg(*measures, *self._failure_columns()).first()
 
     def _failure_columns(self) -> list[Column]:
         return [
-            F.count_if(F.array_contains(VIOLATIONS, name)).alias(f"_c{i}")
-            for i, name in enumerate(self.names)
+            F.count_if(~F.coalesce(good, F.lit(False))).alias(f"_c{i}")
+            for i, (_, good) in enumerate(self.tests)
         ]
 
     def raise_for_counts(self, measured: Row | dict) -> None:
@@ -246,7 +263,7 @@ class Checked:
     def observed(self) -> tuple[DataFrame, Observation]:
         """The rows with failure counts measured by whatever action runs on them next."""
         watch = Observation()
-        return self.rows.observe(watch, *self._failure_columns()).drop(VIOLATIONS), watch
+        return self._coerced(self.source.observe(watch, *self._failure_columns())), watch
 
     def raise_for(self, watch: Observation) -> None:
         self.raise_for_counts(watch.get)
@@ -254,7 +271,7 @@ class Checked:
     def enforce(self) -> DataFrame:
         """The rows, or a `ContractError` that lists every broken check with its row count."""
         self.raise_for_counts(self.measure())
-        return self.rows.drop(VIOLATIONS)
+        return self._coerced(self.source)
 
 
 def check(df: DataFrame, contract: Contract) -> Checked:
@@ -282,13 +299,7 @@ def check(df: DataFrame, contract: Contract) -> Checked:
                 tests.append((f"{name}:{item.name}", absent | column.isNull() | F.coalesce(item.good(column), F.lit(False))))
     for name, good in contract.row_checks:
         tests.append((name, F.coalesce(good(), F.lit(False))))
-    violations = F.array_compact(
-        F.array(*[F.when(~F.coalesce(good, F.lit(False)), F.lit(name)) for name, good in tests])
-    )
-    rows = df.withColumn(VIOLATIONS, violations)
-    if coerced:
-        rows = rows.withColumns(coerced)
-    return Checked(contract, rows, tuple(name for name, _ in tests))
+    return Checked(contract, df, tuple(tests), coerced)
 
 
 def _check_columns(df: DataFrame, contract: Contract) -> None:

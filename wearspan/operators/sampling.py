@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from wearspan.functions.digests import seeded_digest
 from wearspan.operators.ordinals import digest_rank
 from wearspan.schemas import ENTITY
-from wearspan.session import BROADCAST_ROWS
+from wearspan.session import attach, written
 
 SPLITS = ("train", "val", "test")
 
@@ -51,11 +51,8 @@ def select_engines(df: DataFrame, max_engines: int | None, seed: int = 42) -> Da
     if not max_engines or max_engines <= 0:
         return df
     kept = selected_engines(df, max_engines, seed).select(ENTITY)
-    # A sub-dataset keeps at least one engine, so the kept set can exceed max_engines only by the
-    # number of sub-datasets, each of which is itself a value of an id column.
-    if max_engines <= BROADCAST_ROWS:
-        kept = F.broadcast(kept)
-    return df.join(kept, ENTITY, "left_semi")
+    # One engine per sub-dataset at least, so the kept set has no bound of its own: it is written and counted.
+    return attach(df, written(kept, "kept"), ENTITY, "left_semi")
 
 
 def check_fractions(val_split: float, test_split: float) -> None:

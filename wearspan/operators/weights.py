@@ -56,7 +56,6 @@ def weight_column(weights: dict[int, float]) -> Column:
 
 
 def attach_weights(rows: DataFrame, weights: DataFrame) -> DataFrame:
-    """Join the three-row weight table to the rows."""
-    return rows.join(
-        F.broadcast(weights.select(F.col("class").alias(LABEL), "weight")), LABEL
-    )
+    """Join the three-row weight table to the rows; a label outside the classes weighs 1, as in `weight_column`."""
+    small = F.broadcast(weights.select(F.col("class").alias(LABEL), "weight"))
+    return rows.join(small, LABEL, "left").withColumn("weight", F.coalesce("weight", F.lit(1.0)))

@@ -45,9 +45,10 @@ def sliding_windows(
     routed = route(df.select(ENTITY, CYCLE, LABEL, *features), plan, with_halo=True)
     spec = Window.partitionBy(*plan.partition_keys).orderBy(*order_columns(features))
     frame = spec.rowsBetween(1 - window, Window.currentRow)
-    framed = routed.withColumn(
+    # A frame is full from the row with that number on; nothing then needs the readings but who reads them.
+    framed = routed.withColumn("_row", F.row_number().over(spec)).withColumn(
         "readings", F.collect_list(float_vector(features)).over(frame)
-    ).filter((F.size("readings") == window) & ~F.col(HALO))
+    ).filter((F.col("_row") >= window) & ~F.col(HALO))
     return framed.select(
         F.col(ENTITY).alias("engine_id"),
         F.col(CYCLE).alias("end_cycle"),
@@ -107,7 +108,7 @@ def indexed_windows(
     position = F.sum((~F.col(HALO)).cast("long")).over(spec.rowsBetween(Window.unboundedPreceding, 0)) + F.col(OFFSET)
     framed = routed.withColumn("window_index", position - window).withColumn(
         "readings", F.collect_list(float_vector(features)).over(frame)
-    ).filter((F.size("readings") == window) & ~F.col(HALO))
+    ).filter((F.col("window_index") >= 0) & ~F.col(HALO))
     return framed.select(
         F.col(ENTITY).alias("engine_id"),
         F.col(CYCLE).alias("end_cycle"),

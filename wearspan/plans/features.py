@@ -21,7 +21,7 @@ from wearspan.operators.windows import indexed_windows, require_windows, stamped
 from wearspan.params import JobParams
 from wearspan.schemas import CYCLE, ENTITY, LINE_COLUMNS
 from wearspan.session import written
-from wearspan.sources.tables import read_windows, write_manifest, write_windows
+from wearspan.sources.tables import write_manifest, write_windows
 from wearspan.sources.text import read_telemetry
 
 # A text line also has to have the right number of tokens.
@@ -92,12 +92,8 @@ def write_features(
     as_of = as_of or datetime.now(UTC).replace(tzinfo=None)
     stamped = stamped_windows(built.windows, as_of)
     path = write_windows(stamped, data_dir, params.window_size * len(built.names))
-    try:
-        read_windows(spark, data_dir)
-    except ValueError:
-        require_windows(built.windows, params.window_size)
-        raise
-    write_manifest(spark, built.names, data_dir)
+    require_windows(spark.read.parquet(path), params.window_size)
+    write_manifest(spark, built.names, data_dir, path)
     return path
 
 

@@ -164,11 +164,11 @@ def text_digests(spark, sf_dir):
 
 @query(
     "fn_10_rounded",
-    "SELECT vec_id, list_sum(list_transform(embedding[1:3], lambda x: CAST(round(CAST(x AS DOUBLE), 6) * 1000000 AS BIGINT))) AS micro FROM embeddings",
+    "SELECT vec_id, list_sum(list_transform(embedding, lambda x: CAST(round(CAST(x AS DOUBLE), 6) * 1000000 AS BIGINT))) AS micro FROM embeddings",
 )
 def rounded(spark, sf_dir):
     micro = F.aggregate(
-        F.slice("embedding", 1, 3),
+        "embedding",
         F.lit(0).cast("long"),
         lambda acc, x: acc + F.round(F.round(x.cast("double"), 6) * 1000000).cast("long"),
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,23 +12,21 @@ from wearspan.operators.contracts import training_batch, check, windowed_feature
 from wearspan.schemas import MANIFEST, WINDOW_TABLE
 
 WINDOWS = "engine_features.parquet"
+VERSIONS = "engine_features"
 NAMES = "feature_names.json"
 
 
 def write_windows(stamped: DataFrame, data_dir: str, expected_length: int) -> str:
-    """Write the window table and check its contract in the same job.
+    """Write a new version of the window table and check its contract in the same job.
 
     The failures are counted by the write itself, because building the windows a second time only
-    to check them would double the most expensive step. The manifest publishes the table: it is
-    blanked before the write and written by the caller after it, so a table that broke its contract
-    is never accepted for training.
+    to check them would double the most expensive step. Each version has a folder of its own. Only
+    `write_manifest` publishes it, so after a failed run the former version stays the one that is read.
     """
-    spark = stamped.sparkSession
-    path = f"{data_dir}/{WINDOWS}"
-    write_manifest(spark, [], data_dir)
+    path = f"{data_dir}/{VERSIONS}/{uuid.uuid4().hex}"
     checked = check(stamped, windowed_features(expected_length))
     rows, watch = checked.observed()
-    rows.write.mode("overwrite").parquet(path)
+    rows.write.parquet(path)
     checked.raise_for(watch)
     return path
 
@@ -35,8 +35,11 @@ def manifest(spark: SparkSession, features: list[str]) -> DataFrame:
     return spark.createDataFrame(list(enumerate(features)), MANIFEST)
 
 
-def write_manifest(spark: SparkSession, features: list[str], data_dir: str) -> None:
-    manifest(spark, features).coalesce(1).write.mode("overwrite").json(f"{data_dir}/{NAMES}")
+def write_manifest(spark: SparkSession, features: list[str], data_dir: str, path: str | None = None) -> None:
+    """Publish a version: one small file with the feature names and the folder written at `path`."""
+    folder = F.lit(path.removeprefix(f"{data_dir}/") if path else WINDOWS)
+    named = manifest(spark, features).withColumn("folder", folder)
+    named.coalesce(1).write.mode("overwrite").json(f"{data_dir}/{NAMES}")
 
 
 def read_manifest(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -45,19 +48,41 @@ def read_manifest(spark: SparkSession, data_dir: str) -> DataFrame:
     )
 
 
+def published_path(spark: SparkSession, data_dir: str) -> str:
+    """Folder of the published version; a table without a manifest lies at its plain name."""
+    try:
+        published = spark.read.schema("folder string").json(f"{data_dir}/{NAMES}").first()
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in (error.getCondition() or ""):
+            raise
+        published = None
+    return f"{data_dir}/{(published and published['folder']) or WINDOWS}"
+
+
 def feature_names(table: DataFrame) -> list[str]:
     return [r["feature"] for r in table.orderBy("position").collect()]  # one row per feature
 
 
 def read_windows(spark: SparkSession, data_dir: str) -> DataFrame:
-    """The window table; an absent or empty one is an error."""
-    path = f"{data_dir}/{WINDOWS}"
-    rows = _read(lambda: spark.read.schema(WINDOW_TABLE).parquet(path), path)
+    """The published window table with the types of its files; an absent or empty one is an error."""
+    path = published_path(spark, data_dir)
+    rows = _read(lambda: spark.read.parquet(path), path)
     if rows.isEmpty():
         raise ValueError(f"the window table {path} is empty")
     return rows
 
 
+def as_window_table(rows: DataFrame) -> DataFrame:
+    """Rows that passed the batch contract in the one form that training uses: double readings are
+    narrowed, wide labels too, zoned times become local ones, a missing creation time is NULL."""
+    present = [f if f.name in rows.columns else None for f in WINDOW_TABLE]
+    columns = [
+        F.col(f.name).cast(f.dataType).alias(f.name) if there else F.lit(None).cast(f.dataType).alias(f.name)
+        for f, there in zip(WINDOW_TABLE, present, strict=True)
+    ]
+    return rows.select(*columns)
+
+
 def _read(load, path: str) -> DataFrame:
     try:
         return load()
@@ -70,10 +95,11 @@ def _read(load, path: str) -> DataFrame:
 def check_training_table(rows: DataFrame, features: list[str], window: int) -> DataFrame:
     """Batch contract plus the agreement of table, manifest and window.
 
-    The expected length comes from the manifest, so a uniformly wrong table fails too.
+    The expected length comes from the manifest, so a uniformly wrong table fails too. Columns and
+    types are checked as they were read; what comes back has the types of a window table.
     """
-    size = F.size("windowed_features")
     checked = check(rows, training_batch(window * len(features)))
+    size = F.size("windowed_features")
     measured = checked.measure(F.min(size).alias("low"), F.max(size).alias("high"))
     low, high = measured["low"], measured["high"]
     for length in (low, high):
@@ -84,4 +110,4 @@ def check_training_table(rows: DataFrame, features: list[str], window: int) -> D
             f"the manifest names {len(features)} features and the table has {low // window}"
         )
     checked.raise_for_counts(measured)
-    return rows
+    return as_window_table(rows)
