@@ -78,19 +78,20 @@ def windows(spark, *rows):
 
 def test_window_table_and_manifest_round_trip(spark, tmp_path):
     folder = str(tmp_path)
-    write_windows(windows(spark, ("a", [1.0] * 6, 0), ("b", [2.0] * 6, 2)), folder, 6)
-    write_manifest(spark, ["z", "y", "x"], folder)
+    path = write_windows(windows(spark, ("a", [1.0] * 6, 0), ("b", [2.0] * 6, 2)), folder, 6)
+    write_manifest(spark, ["z", "y", "x"], folder, path)
     assert read_windows(spark, folder).count() == 2
     assert feature_names(read_manifest(spark, folder)) == ["z", "y", "x"]
     check_training_table(read_windows(spark, folder), ["z", "y", "x"], 2)
 
 
-def test_broken_window_table_is_not_published(spark, tmp_path):
+def test_a_broken_table_leaves_the_published_one(spark, tmp_path):
     folder = str(tmp_path)
-    write_manifest(spark, ["old"], folder)
+    write_manifest(spark, ["x"], folder, write_windows(windows(spark, ("a", [1.0] * 6, 0)), folder, 6))
     with pytest.raises(ContractError):
-        write_windows(windows(spark, ("a", [1.0] * 5, 0)), folder, 6)
-    assert feature_names(read_manifest(spark, folder)) == []
+        write_windows(windows(spark, ("b", [1.0] * 5, 0)), folder, 6)
+    assert feature_names(read_manifest(spark, folder)) == ["x"]
+    assert [r["engine_id"] for r in check_training_table(read_windows(spark, folder), ["x"], 6).collect()] == ["a"]
 
 
 def test_missing_and_empty_tables(spark, tmp_path):
@@ -98,11 +99,21 @@ def test_missing_and_empty_tables(spark, tmp_path):
         read_windows(spark, str(tmp_path))
     with pytest.raises(FileNotFoundError, match="feature build"):
         read_manifest(spark, str(tmp_path))
-    write_windows(windows(spark), str(tmp_path), 6)
+    write_manifest(spark, ["x"], str(tmp_path), write_windows(windows(spark), str(tmp_path), 6))
     with pytest.raises(ValueError, match="empty"):
         read_windows(spark, str(tmp_path))
 
 
+def test_tables_of_other_writers_are_read_as_they_are(spark, tmp_path):
+    admitted = spark.createDataFrame([("a", [1.5, 2.5], 1)], "engine_id string, windowed_features array<double>, failure_type bigint")
+    admitted.withColumn("event_timestamp", F.current_timestamp()).write.parquet(str(tmp_path / "engine_features.parquet"))
+    rows = check_training_table(read_windows(spark, str(tmp_path)), ["x"], 2)
+    assert rows.schema.simpleString() == WINDOW_TABLE.simpleString()
+    assert [(r["windowed_features"], r["failure_type"], r["created_timestamp"]) for r in rows.collect()] == [([1.5, 2.5], 1, None)]
+    with pytest.raises(ContractError, match="type"):
+        check_training_table(admitted.withColumn("event_timestamp", F.lit("now")), ["x"], 2)
+
+
 def test_table_manifest_and_window_must_agree(spark):
     rows = windows(spark, ("a", [1.0] * 6, 0))
     with pytest.raises(ValueError, match="multiple of the window 4"):

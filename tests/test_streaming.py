@@ -11,8 +11,8 @@ from wearspan.operators.scoring import checked_requests
 from wearspan.plans.score import score_requests
 from wearspan.queries.streams import fitted_champion
 from wearspan.sources.requests import read_requests, stream_requests
-from wearspan.streaming.live_windows import STATE_STORE, drain, late_rows, live_distinct, live_windows
-from wearspan.streaming.requests import ChampionHolder, start_quarantine, start_scoring
+from wearspan.streaming.live_windows import STATE_STORE, drain, late_rows, live_windows, start_distinct
+from wearspan.streaming.requests import BatchChampion, start_quarantine, start_scoring
 
 FEED = "global_unit string, time_in_cycles long, sensor_1 double, sensor_2 double"
 
@@ -71,12 +71,26 @@ def test_late_rows_are_set_aside(spark, rocksdb, tmp_path):
     assert kept == {3: [1.0, 2.0, 3.0], 4: [2.0, 3.0, 4.0]}
 
 
-def test_duplicates_within_the_watermark(spark, tmp_path):
-    rows = spark.range(20).select("id", F.timestamp_seconds(F.col("id") * 10 + 1_700_000_000).alias("ts"))
-    rows.unionByName(rows.filter("id % 2 = 0")).write.parquet(str(tmp_path / "in"))
-    stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
-    got = drain(live_distinct(stream, "ts", ["id"], "10 minutes"), str(tmp_path / "out"), str(tmp_path / "state"))
-    assert got.count() == 20
+def test_no_row_of_many_batches_is_lost(spark, tmp_path):
+    """Copies, changed rows and stragglers in shuffled batches: received = kept + duplicates + late."""
+    rng = random.Random(4)
+    schema = "id long, at timestamp, v double"
+    base = spark.range(60).selectExpr("id", "timestamp_seconds(1700000000 + id * 60) AS at", "cast(id AS double) AS v")
+    rows = [tuple(r) for r in base.collect()]
+    parts = [rows[i : i + 15] + rng.sample(rows[: i + 15], 5) for i in range(0, 60, 15)]
+    parts += [[rows[0], (rows[1][0], rows[1][1], 99.0)], [rows[59], rows[59], (59, rows[59][1], -1.0), (7, None, None)]]
+    sent = [r for part in parts for r in part]
+    for i, part in enumerate(parts):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        feed = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+        start_distinct(feed, str(tmp_path / "out"), "at", "20 MINUTES", str(tmp_path / "state")).awaitTermination()
+    kept = [tuple(r)[:3] for r in spark.read.parquet(str(tmp_path / "out/kept")).select("id", "at", "v").collect()]
+    late = [tuple(r)[:3] for r in spark.read.parquet(str(tmp_path / "out/late")).select("id", "at", "v").collect()]
+    counts = spark.read.parquet(str(tmp_path / "out/counts")).selectExpr("sum(received)", "sum(kept)", "sum(duplicates)", "sum(late)").first()
+    assert len(kept) == len(set(kept)) == counts[1] and set(rows) <= set(kept)
+    assert counts[0] == len(sent) == counts[1] + counts[2] + counts[3] and len(late) == counts[3] > 0
+    assert set(kept) | set(late) == set(sent)
+    assert (7, None, None) in kept and (59, rows[59][1], -1.0) in kept and (1, rows[1][1], 99.0) in late
 
 
 def request_files(folder):
@@ -105,7 +119,7 @@ def test_stream_scoring_equals_batch(spark, tmp_path, small_dir):
     champion = fitted_champion(spark, small_dir)
     start_scoring(
         stream_requests(spark, path, 5),
-        ChampionHolder(lambda: champion),
+        BatchChampion(lambda: champion),
         str(tmp_path / "answers"),
         str(tmp_path / "refused"),
         str(tmp_path / "pending"),
@@ -126,44 +140,51 @@ def test_requests_wait_without_a_champion(spark, tmp_path):
         raise RuntimeError("no champion yet")
 
     start_scoring(
-        stream_requests(spark, path), ChampionHolder(nothing), str(tmp_path / "a"), str(tmp_path / "r"), str(tmp_path / "p"), str(tmp_path / "s")
+        stream_requests(spark, path), BatchChampion(nothing), str(tmp_path / "a"), str(tmp_path / "r"), str(tmp_path / "p"), str(tmp_path / "s")
     ).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "p")).count() == 13
     assert not (tmp_path / "a").exists()
 
 
-def test_champion_is_retried_then_kept():
-    calls = []
-
-    def loader():
-        calls.append(1)
-        if len(calls) == 1:
-            raise RuntimeError("not yet")
-        return f"champion {len(calls)}"
-
-    holder = ChampionHolder(loader, cooldown_seconds=0)
-    assert holder.get() is None
-    assert holder.get() == "champion 2"
-    assert holder.get() == "champion 2"
-    assert len(calls) == 2
-
-
-def test_champion_cooldown_and_refresh():
-    now, calls = [0.0], []
-
-    def failing():
-        calls.append(1)
-        raise RuntimeError("no")
-
-    holder = ChampionHolder(failing, cooldown_seconds=3600, clock=lambda: now[0])
-    assert holder.get() is None
-    assert holder.get() is None
-    assert len(calls) == 1
-    versions = iter("123")
-    latest = ChampionHolder(lambda: next(versions), 10, "latest", lambda: now[0])
-    assert latest.get() == "1"
-    assert latest.get() == "1"
-    now[0] = 10.0
-    assert latest.get() == "2"
-
+def test_malformed_text_survives_every_sink(spark, tmp_path, small_dir):
+    path = request_files(tmp_path / "in")
+    cut = '{"engine_id": "cut", "readings": [[1.0'
+    start_quarantine(stream_requests(spark, path), str(tmp_path / "good"), str(tmp_path / "bad"), str(tmp_path / "s1")).awaitTermination()
+    bad = spark.read.parquet(str(tmp_path / "bad")).where("_corrupt_record IS NOT NULL").collect()
+    assert [(r["_corrupt_record"], r["reasons"]) for r in bad] == [(cut, "well_formed")]
+    refused = score_requests(read_requests(spark, path), fitted_champion(spark, small_dir)).rejected
+    assert [r["reasons"] for r in refused.where("_corrupt_record IS NOT NULL").collect()] == ["well_formed"]
 
+    def nothing():
+        raise RuntimeError("none")
+
+    start_scoring(stream_requests(spark, path), BatchChampion(nothing), str(tmp_path / "a"), str(tmp_path / "r"), str(tmp_path / "p"), str(tmp_path / "s2")).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "p")).where(F.col("_corrupt_record") == cut).count() == 1
+
+
+def test_batches_without_champion_ask_again(spark):
+    answers = iter([RuntimeError("down"), "v1", "v2"])
+    now = [0.0]
+
+    def look_up():
+        answer = next(answers)
+        if isinstance(answer, Exception):
+            raise answer
+        return answer
+
+    champions = BatchChampion(look_up, every_seconds=5, clock=lambda: now[0])
+    assert [champions.of(0), champions.of(0), champions.of(1)] == [None, None, None]
+    now[0] = 6.0
+    assert champions.of(1) is None  # a replay keeps its decision
+    assert [champions.of(2), champions.of(3)] == ["v1", "v1"]
+    now[0] = 60.0
+    assert champions.of(4) == "v1"
+    assert next(answers) == "v2"
+
+
+def test_followed_promotions_change_at_a_border(spark):
+    now, versions = [0.0], iter("xyz")
+    champions = BatchChampion(lambda: next(versions), 10, follow_promotions=True, clock=lambda: now[0])
+    assert [champions.of(i) for i in (0, 1)] == ["x", "x"]
+    now[0] = 12.0
+    assert [champions.of(i) for i in (1, 2, 2, 3)] == ["x", "y", "y", "y"]

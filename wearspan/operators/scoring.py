@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 from wearspan.functions.scores import argmax, class_name, probability_map
 from wearspan.operators.contracts import SCORING_REQUEST, VIOLATIONS, Checked, check, request_shape
 from wearspan.operators.scaling import ScalerState, scale_flat
-from wearspan.schemas import CLASS_NAMES, CRITICAL
+from wearspan.schemas import CLASS_NAMES, CORRUPT_COLUMN, CRITICAL
 
 VECTOR = "features"
 
@@ -61,14 +63,27 @@ def critical_above(answers: DataFrame, limit: float) -> DataFrame:
     return answers.filter(F.col("probabilities")[CLASS_NAMES[CRITICAL]] > limit)
 
 
+def request_columns(requests: DataFrame) -> list[str]:
+    """Everything a request holds: its fields and, where it was read from text, the text that was no request."""
+    return [c for c in ("engine_id", "readings", CORRUPT_COLUMN) if c in requests.columns]
+
+
 def checked_requests(
     requests: DataFrame, window: int | Column | None = None, features: int | Column | None = None
 ) -> Checked:
-    """Requests with their violations; the shape is checked when a model is known."""
+    """Requests with their violations; the shape is checked when a model is known.
+
+    Text that was no request has one violation, `well_formed`, in place of those of its missing fields.
+    """
     contract = SCORING_REQUEST
     if window is not None:
         contract = contract.with_row_check(*request_shape(window, features))
-    return check(requests, contract)
+    checked = check(requests, contract)
+    if CORRUPT_COLUMN not in requests.columns:
+        return checked
+    malformed = F.col(CORRUPT_COLUMN).isNotNull()
+    tests = [(name, malformed | F.coalesce(good, F.lit(False))) for name, good in checked.tests]
+    return replace(checked, tests=(*tests, ("well_formed", ~malformed)))
 
 
 def accepted_and_rejected(

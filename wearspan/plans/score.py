@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wearspan.operators.scoring import accepted_and_rejected, responses, score_windows
+from wearspan.operators.scoring import accepted_and_rejected, request_columns, responses, score_windows
 from wearspan.sources.ledger import Champion, Ledger
 
 FLAT = "_flat"
@@ -27,7 +27,7 @@ def score_requests(requests: DataFrame, champion: Champion) -> Scored:
     good, bad = accepted_and_rejected(requests, champion.window_size, champion.num_features)
     flat = good.withColumn(FLAT, F.flatten("readings"))
     scored = score_windows(flat, champion.model, champion.scaler, FLAT)
-    rejected = bad.select("engine_id", "readings", "reasons")
+    rejected = bad.select(*request_columns(requests), "reasons")
     return Scored(responses(scored, champion.version), rejected)
 
 

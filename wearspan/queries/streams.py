@@ -7,14 +7,14 @@ from pyspark.sql import functions as F
 from wearspan.operators.scaling import ScalerState
 from wearspan.operators.training import fit_candidate
 from wearspan.queries.catalog import query
-from wearspan.schemas import CYCLE, ENTITY
+from wearspan.schemas import CORRUPT_COLUMN, CYCLE, ENTITY
 from wearspan.session import scratch_path
 from wearspan.sources import derived
 from wearspan.sources.bindings import event_telemetry, table
 from wearspan.sources.ledger import Champion
 from wearspan.sources.requests import request_json, stream_requests
-from wearspan.streaming.live_windows import STATE_STORE, drain, live_distinct, live_windows
-from wearspan.streaming.requests import ChampionHolder, start_quarantine, start_scoring
+from wearspan.streaming.live_windows import STATE_STORE, drain, live_windows, start_distinct
+from wearspan.streaming.requests import BatchChampion, start_quarantine, start_scoring
 
 WINDOW = 10
 
@@ -64,25 +64,63 @@ def live(spark, sf_dir):
     )
 
 
+def distinct_feed(spark, sf_dir, lateness: str) -> str:
+    """`events` in three micro-batches: all of them, every third one again, and every fiftieth changed.
+
+    The folder grows between runs of one query over one checkpoint, so each part is one batch.
+    """
+    events = table(spark, sf_dir, "events")
+    parts = [events, events.where("event_id % 3 = 0"), events.where("event_id % 50 = 0").withColumn("value", F.col("value") + 1)]
+    source, out, state = (scratch_path(spark, f"distinct-{n}") for n in ("in", "out", "state"))
+    for part in parts:
+        part.write.mode("append").parquet(source)
+        feed = spark.readStream.schema(events.schema).parquet(source)
+        start_distinct(feed, out, "ts", lateness, state).awaitTermination()
+    return out
+
+
 @query(
     "str_5_live_distinct",
-    "SELECT global_unit, count(*) AS readings, CAST(sum(time_in_cycles) AS BIGINT) AS checksum FROM feed GROUP BY global_unit",
+    """SELECT global_unit, count(*) AS readings, CAST(sum(time_in_cycles) AS BIGINT) AS checksum FROM (
+  SELECT global_unit, time_in_cycles FROM feed UNION ALL SELECT f.global_unit, f.time_in_cycles FROM feed f WHERE f.time_in_cycles % 50 = 0)
+GROUP BY global_unit""",
     ("feed",),
 )
 def distinct_readings(spark, sf_dir):
-    """Every third event is sent twice; the copies are dropped within the watermark."""
-    copies = F.when(F.col("event_id") % 3 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    events = event_stream(spark, sf_dir).withColumn("_copy", F.explode(copies))
-    kept = drain(
-        live_distinct(events, "ts", ["event_id"], "1 hour").drop("_copy"),
-        scratch_path(spark, "distinct"),
-        scratch_path(spark, "distinct-state"),
-    )
+    """With a long delay nothing is late: copies go, changed rows stay."""
+    kept = spark.read.parquet(distinct_feed(spark, sf_dir, "3650 DAYS") + "/kept")
     return event_telemetry(kept).groupBy(ENTITY).agg(
         F.count(F.lit(1)).alias("readings"), F.sum(CYCLE).alias("checksum")
     )
 
 
+_LATE_BORDER = "(SELECT max(ts) - INTERVAL 5 DAY FROM events)"
+
+
+@query(
+    "str_5_late_events",
+    f"""SELECT event_id, value, count(*) AS copies FROM (
+  SELECT event_id, value, ts FROM events WHERE event_id % 3 = 0 UNION ALL SELECT event_id, value + 1, ts FROM events WHERE event_id % 50 = 0)
+WHERE ts < {_LATE_BORDER} GROUP BY event_id, value""",
+)
+def late_events(spark, sf_dir):
+    """Rows behind the border come back whole, copies and changed rows alike."""
+    late = spark.read.parquet(distinct_feed(spark, sf_dir, "5 DAYS") + "/late")
+    return late.groupBy("event_id", "value").agg(F.count(F.lit(1)).alias("copies"))
+
+
+@query(
+    "str_5_outcomes",
+    f"""SELECT count(*) + count_if(event_id % 3 = 0) + count_if(event_id % 50 = 0) AS received,
+  count(*) + count_if(event_id % 50 = 0 AND ts >= {_LATE_BORDER}) AS kept, count_if(event_id % 3 = 0 AND ts >= {_LATE_BORDER}) AS duplicates,
+  count_if(event_id % 3 = 0 AND ts < {_LATE_BORDER}) + count_if(event_id % 50 = 0 AND ts < {_LATE_BORDER}) AS late FROM events""",
+)
+def distinct_outcomes(spark, sf_dir):
+    """Received = kept + duplicates + late, over all batches."""
+    counts = spark.read.parquet(distinct_feed(spark, sf_dir, "5 DAYS") + "/counts")
+    return counts.agg(*[F.sum(c).alias(c) for c in ("received", "kept", "duplicates", "late")])
+
+
 def request_folder(spark, sf_dir) -> str:
     """The derived requests as JSON files; NaN has no JSON form and arrives as text."""
     rows = derived.requests(spark, sf_dir)
@@ -128,6 +166,23 @@ def fitted_champion(spark, sf_dir) -> Champion:
     return Champion("embedding_model", "1", "run-1", model, state, 8)
 
 
+@query(
+    "str_1_malformed_texts",
+    """SELECT '{"engine_id": "' || vec_id || '", "readings": [[1.0' AS text, 'well_formed' AS reasons, count(*) AS requests
+FROM embeddings WHERE vec_id % 29 = 0 GROUP BY vec_id""",
+)
+def malformed_texts(spark, sf_dir):
+    """Cut lines among good ones reach the quarantine with their whole text."""
+    folder, bad = request_folder(spark, sf_dir), scratch_path(spark, "bad")
+    cut = F.format_string('{"engine_id": "%d", "readings": [[1.0', "vec_id")
+    table(spark, sf_dir, "embeddings").where("vec_id % 29 = 0").select(cut.alias("value")).write.mode("append").text(folder)
+    start_quarantine(
+        stream_requests(spark, folder), scratch_path(spark, "good"), bad, scratch_path(spark, "malformed-state")
+    ).awaitTermination()
+    refused = spark.read.parquet(bad).where(F.col(CORRUPT_COLUMN).isNotNull())
+    return refused.groupBy(F.col(CORRUPT_COLUMN).alias("text"), "reasons").agg(F.count(F.lit(1)).alias("requests"))
+
+
 @query(
     "str_2_stream_scoring",
     """SELECT model_version, count(*) AS answered FROM (SELECT '1' AS model_version FROM requests
@@ -137,11 +192,11 @@ def fitted_champion(spark, sf_dir) -> Champion:
 def stream_scoring(spark, sf_dir):
     """Good requests answered, none pending, once a champion exists (STR-3 holds it)."""
     champion = fitted_champion(spark, sf_dir)
-    holder = ChampionHolder(loader=lambda: champion)
+    champions = BatchChampion(look_up=lambda: champion)
     answers = scratch_path(spark, "stream-answers")
     query_ = start_scoring(
         stream_requests(spark, request_folder(spark, sf_dir)),
-        holder,
+        champions,
         answers,
         scratch_path(spark, "stream-refused"),
         scratch_path(spark, "stream-pending"),

@@ -77,7 +77,7 @@ def as_window_table(rows: DataFrame) -> DataFrame:
     narrowed, wide labels too, zoned times become local ones, a missing creation time is NULL."""
     present = [f if f.name in rows.columns else None for f in WINDOW_TABLE]
     columns = [
-        F.col(f.name).cast(f.dataType).alias(f.name) if there else F.lit(None).cast(f.dataType).alias(f.name)
+        (F.col(f.name) if there else F.lit(None)).cast(f.dataType.simpleString()).alias(f.name)
         for f, there in zip(WINDOW_TABLE, present, strict=True)
     ]
     return rows.select(*columns)

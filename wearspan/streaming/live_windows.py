@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from wearspan.schemas import CYCLE, ENTITY
 
@@ -105,11 +105,57 @@ def live_windows(feed: DataFrame, window: int, features: list[str]) -> DataFrame
     )
 
 
-def live_distinct(feed: DataFrame, event_time: str, columns: list[str], lateness: str) -> DataFrame:
-    """Exact duplicates within the watermark's delay are dropped; state expires with it."""
-    timed = feed.withColumn("_event_time", F.col(event_time).cast("timestamp"))
-    kept = timed.withWatermark("_event_time", lateness).dropDuplicatesWithinWatermark(columns)
-    return kept.drop("_event_time")
+def start_distinct(
+    feed: DataFrame,
+    folder: str,
+    event_time: str,
+    lateness: str,
+    checkpoint: str,
+    columns: list[str] | None = None,
+    **trigger,
+) -> StreamingQuery:
+    """Splits a feed into `kept`, `late` and counted duplicates; every row goes to exactly one of them.
+
+    Rows are equal if all their columns are (or `columns`, if given). A row more than `lateness` behind the
+    newest event of earlier batches is late: it is written to `late` as it came, and nobody judges
+    whether it was seen before. Any other row is kept once, against the digests of all kept rows that
+    young. A batch writes folders of its own, so a replay overwrites itself. Rows without event time
+    are never late.
+    """
+    digest, when = "_digest", "_event_time"
+
+    def split(rows: DataFrame, batch: int) -> None:
+        spark = rows.sparkSession
+        keys = columns or rows.columns
+        marked = rows.withColumn(digest, F.sha2(F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}), 256))
+        marked = marked.withColumn(when, F.col(event_time).cast("timestamp")).persist()
+        seen = spark.createDataFrame([], f"{digest} string, {when} timestamp")
+        if batch:
+            seen = spark.read.schema(seen.schema.add("batch", "long")).parquet(f"{folder}/seen").where(F.col("batch") < batch)
+        newest = seen.agg((F.max(when) - F.expr(f"INTERVAL {lateness}")).alias("border")).first()["border"]
+        is_late = F.coalesce(F.col(when) < F.lit(newest), F.lit(False))
+        young = seen.where(~F.coalesce(F.col(when) < F.lit(newest), F.lit(False)))
+        kept = marked.where(~is_late).dropDuplicates([digest]).join(young.select(digest), digest, "left_anti")
+        _batch(kept.select(digest, when), f"{folder}/seen", batch)
+        held = spark.read.schema(f"{digest} string").parquet(f"{folder}/seen/batch={batch}")
+        chosen = marked.where(~is_late).dropDuplicates([digest]).join(held, digest, "left_semi")
+        _batch(chosen.select(*rows.columns), f"{folder}/kept", batch)
+        _batch(marked.where(is_late).select(*rows.columns), f"{folder}/late", batch)
+        counts = marked.agg(F.count(F.lit(1)).alias("received"), F.count_if(is_late).alias("late"))
+        counts = counts.withColumn("kept", F.lit(held.count()))
+        _batch(counts.withColumn("duplicates", F.col("received") - F.col("late") - F.col("kept")), f"{folder}/counts", batch)
+        marked.unpersist()
+
+    return (
+        feed.writeStream.foreachBatch(split)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+
+
+def _batch(rows: DataFrame, path: str, batch: int) -> None:
+    rows.write.mode("overwrite").parquet(f"{path}/batch={batch}")
 
 
 def drain(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:

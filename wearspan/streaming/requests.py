@@ -4,44 +4,46 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from contextlib import suppress
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wearspan.operators.contracts import VIOLATIONS
-from wearspan.operators.scoring import checked_requests
+from wearspan.operators.scoring import checked_requests, request_columns
 from wearspan.plans.score import score_requests
 from wearspan.sources.ledger import Champion
 
 
 @dataclass
-class ChampionHolder:
-    """Keeps a champion across micro-batches.
+class BatchChampion:
+    """Which champion answers a micro-batch; decided once per batch, at its border.
 
-    Until one exists the loader is retried, at most once per cooldown. With `refresh="sticky"` a
-    loaded champion stays for the life of the query; `"latest"` asks again after each cooldown.
+    `look_up` asks the promotions for the champion of the day and may fail. It is asked at the first border,
+    and again at borders at least `every_seconds` after the last time it was asked: while there is no
+    champion, or always if promotions are followed. A failed look-up changes nothing. A batch
+    that is replayed gets the decision it had, so its answers do not mix versions.
     """
 
-    loader: Callable[[], Champion]
-    cooldown_seconds: float = 30.0
-    refresh: str = "sticky"
+    look_up: Callable[[], Champion]
+    every_seconds: float = 30.0
+    follow_promotions: bool = False
     clock: Callable[[], float] = time.monotonic
-    current: Champion | None = None
-    last_attempt: float = field(default=float("-inf"))
-
-    def get(self) -> Champion | None:
-        if self.current is not None and self.refresh == "sticky":
-            return self.current
-        now = self.clock()
-        if now - self.last_attempt >= self.cooldown_seconds:
-            self.last_attempt = now
-            try:
-                self.current = self.loader()
-            except Exception:  # any load failure means "not yet"; the old champion stays
-                return self.current
-        return self.current
+    decision: tuple[int, Champion | None] = (-1, None)
+    asked_at: float | None = None
+
+    def of(self, batch: int) -> Champion | None:
+        decided_for, champion = self.decision
+        if batch != decided_for:
+            rested = self.asked_at is None or self.clock() >= self.asked_at + self.every_seconds
+            if rested and (champion is None or self.follow_promotions):
+                self.asked_at = self.clock()
+                with suppress(Exception):  # any failure means "not yet"
+                    champion = self.look_up()
+            self.decision = (batch, champion)
+        return champion
 
 
 def _append(rows: DataFrame, path: str, batch: int) -> None:
@@ -52,13 +54,13 @@ def _append(rows: DataFrame, path: str, batch: int) -> None:
 def start_quarantine(
     requests: DataFrame, accepted: str, rejected: str, checkpoint: str, **trigger
 ) -> StreamingQuery:
-    """Split a request stream by its contract into two sinks. Stateless."""
+    """Split a request stream by its contract into two sinks. Stateless. Malformed text is kept whole."""
 
     def split(rows: DataFrame, batch: int) -> None:
         checked = checked_requests(rows)
         _append(checked.good().select("engine_id", "readings"), accepted, batch)
         reasons = checked.bad().withColumn("reasons", F.array_join(VIOLATIONS, ","))
-        _append(reasons.select("engine_id", "readings", "reasons"), rejected, batch)
+        _append(reasons.select(*request_columns(rows), "reasons"), rejected, batch)
 
     return (
         requests.writeStream.foreachBatch(split)
@@ -70,19 +72,19 @@ def start_quarantine(
 
 def start_scoring(
     requests: DataFrame,
-    holder: ChampionHolder,
+    champions: BatchChampion,
     answers: str,
     rejected: str,
     pending: str,
     checkpoint: str,
     **trigger,
 ) -> StreamingQuery:
-    """Score a request stream. Without a champion a batch goes to `pending` unanswered."""
+    """Score a request stream. Without a champion a batch goes to `pending` whole and unanswered."""
 
     def score(rows: DataFrame, batch: int) -> None:
-        champion = holder.get()
+        champion = champions.of(batch)
         if champion is None:
-            _append(rows.select("engine_id", "readings"), pending, batch)
+            _append(rows.select(*request_columns(rows)), pending, batch)
             return
         scored = score_requests(rows, champion)
         _append(scored.answers, answers, batch)
