@@ -3,7 +3,7 @@ from __future__ import annotations
 from datetime import datetime
 
 import pytest
-from helpers import write_synthetic
+from helpers import write_fleet
 from pyspark.sql import functions as F
 
 from wearspan.operators.scoring import audit_rows, critical_above
@@ -17,6 +17,8 @@ from wearspan.sources.ledger import InconsistentArtifacts, Ledger, NoChampion
 from wearspan.sources.tables import feature_names, read_manifest, read_windows
 
 AS_OF = datetime(2024, 6, 1)
+LIVES = (92, 95, 100, 105, 110, 130)
+WINDOWS = sum(life - 29 for life in LIVES)
 OPEN = {"f2_threshold": 0.0, "critical_recall_threshold": 0.0}
 SHUT = {"f2_threshold": 1.0, "critical_recall_threshold": 1.0}
 
@@ -29,7 +31,7 @@ def params(**changes):
 @pytest.fixture(scope="module")
 def prepared(spark, tmp_path_factory):
     folder = tmp_path_factory.mktemp("data")
-    write_synthetic(folder / "train_FD001.txt")
+    write_fleet(folder / "train_FD001.txt", LIVES)
     prepare(spark, str(folder), params(), as_of=AS_OF)
     return str(folder)
 
@@ -42,15 +44,15 @@ def champion_run(spark, prepared, tmp_path_factory):
 
 def test_window_table_content(spark, prepared):
     rows = read_windows(spark, prepared)
-    assert rows.count() == 426
+    assert rows.count() == WINDOWS
     per_engine = rows.groupBy("engine_id").pivot("failure_type", [0, 1, 2]).count().collect()
-    assert [tuple(r)[1:] for r in per_engine] == [(10, 30, 31)] * 6
+    assert {tuple(r) for r in per_engine} == {(f"FD001_{i}", life - 90, 30, 31) for i, life in enumerate(LIVES, 1)}
     assert {r[0] for r in rows.select(F.size("windowed_features")).distinct().collect()} == {720}
     assert len(feature_names(read_manifest(spark, prepared))) == 24
     times = rows.agg(F.min("event_timestamp"), F.max("event_timestamp"), F.countDistinct("event_timestamp"), F.max("created_timestamp")).first()
     assert times[0] == datetime(2024, 5, 31, 1)
-    assert (times[1] - times[0]).total_seconds() == 4250
-    assert times[2] == 426
+    assert (times[1] - times[0]).total_seconds() == 10 * (WINDOWS - 1)
+    assert times[2] == WINDOWS
     assert times[3] == AS_OF
 
 
@@ -79,7 +81,7 @@ def test_every_window_is_scored(spark, prepared, champion_run):
     ledger, _ = champion_run
     answers = score_table(read_windows(spark, prepared), ledger.champion("wear_classifier", 30))
     rows = answers.collect()
-    assert len(rows) == 426
+    assert len(rows) == WINDOWS
     for r in rows:
         assert list(r["probabilities"]) == list(CLASS_NAMES)
         assert sum(r["probabilities"].values()) == pytest.approx(1.0, abs=1e-4)
@@ -96,7 +98,7 @@ def test_requests_are_scored_like_the_table(spark, prepared, champion_run):
     requests = windows.select("engine_id", matrix.cast("array<array<double>>").alias("readings"))
     bad = requests.limit(3).withColumn("readings", F.slice("readings", 1, 29))
     done = score(requests.unionByName(bad), ledger, "wear_classifier", 30)
-    assert done.answers.count() == 426
+    assert done.answers.count() == WINDOWS
     assert {r["reasons"] for r in done.rejected.collect()} == {"readings:shape"}
     champion = ledger.champion("wear_classifier", 30)
     expected = score_table(windows, champion)
@@ -136,14 +138,14 @@ def test_inconsistent_artifacts_are_refused(spark, champion_run, tmp_path):
 
 
 def test_an_engine_sample_checks_all_engines(spark, tmp_path):
-    write_synthetic(tmp_path / "train_FD001.txt", engines=4, cycles=40)
-    write_synthetic(tmp_path / "train_FD002.txt", engines=4, cycles=40, seed=1)
+    write_fleet(tmp_path / "train_FD001.txt", [40, 42, 44, 46])
+    write_fleet(tmp_path / "train_FD002.txt", [41, 43, 45, 47], seed=1)
     prepare(spark, str(tmp_path), params(max_engines=4), target=str(tmp_path / "out"), as_of=AS_OF)
     engines = read_windows(spark, str(tmp_path / "out")).select("engine_id").distinct().collect()
     assert sorted(r[0][:5] for r in engines) == ["FD001"] * 2 + ["FD002"] * 2
 
 
 def test_no_engine_long_enough(spark, tmp_path):
-    write_synthetic(tmp_path / "train_FD001.txt", engines=2, cycles=5)
+    write_fleet(tmp_path / "train_FD001.txt", [5, 6])
     with pytest.raises(ValueError, match="at least 30 cycles"):
         prepare(spark, str(tmp_path), params(), as_of=AS_OF)

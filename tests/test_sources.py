@@ -3,7 +3,7 @@ from __future__ import annotations
 from datetime import datetime
 
 import pytest
-from helpers import write_synthetic
+from helpers import write_fleet
 from pyspark.sql import functions as F
 
 from wearspan.operators.contracts import ContractError, check
@@ -51,7 +51,7 @@ def test_damaged_lines_break_the_contract(spark, tmp_path, line):
 
 
 def test_written_lines_read_back(spark, tmp_path):
-    write_synthetic(tmp_path / "train_FD001.txt", engines=2, cycles=5)
+    write_fleet(tmp_path / "train_FD001.txt", [5, 8])
     rows = read_telemetry(spark, str(tmp_path))
     write_lines(rows, str(tmp_path / "copy" / "train_FD002.txt"))
     again = read_telemetry(spark, str(tmp_path / "copy"))

@@ -81,10 +81,9 @@ def distinct_feed(spark, sf_dir, lateness: str) -> str:
 
 @query(
     "str_5_live_distinct",
-    """SELECT global_unit, count(*) AS readings, CAST(sum(time_in_cycles) AS BIGINT) AS checksum FROM (
-  SELECT global_unit, time_in_cycles FROM feed UNION ALL SELECT f.global_unit, f.time_in_cycles FROM feed f WHERE f.time_in_cycles % 50 = 0)
+    """SELECT 'U_' || user_id AS global_unit, count(*) AS readings, CAST(sum(epoch_us(ts)) AS BIGINT) AS checksum FROM (
+  SELECT user_id, ts FROM events UNION ALL SELECT user_id, ts FROM events WHERE event_id % 50 = 0)
 GROUP BY global_unit""",
-    ("feed",),
 )
 def distinct_readings(spark, sf_dir):
     """With a long delay nothing is late: copies go, changed rows stay."""

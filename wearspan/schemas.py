@@ -16,7 +16,7 @@ SETTING_COLUMNS = tuple(f"op_setting_{i}" for i in range(1, 4))
 SENSOR_COLUMNS = tuple(f"sensor_{i}" for i in range(1, 22))
 LINE_COLUMNS = ("unit_number", "time_in_cycles", *SETTING_COLUMNS, *SENSOR_COLUMNS)
 
-# Columns that identify or label a row and are never model features.
+# Names that results must leave out of the features, since they say which row it is or its answer.
 IDENTIFIER_COLUMNS = ("unit_number", "time_in_cycles", "global_unit", "failure_type")
 
 ENTITY = "global_unit"
