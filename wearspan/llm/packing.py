@@ -103,9 +103,9 @@ def packed_round(bins: DataFrame, parts: int, capacity: int) -> DataFrame:
         lists = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(taken, [f.name for f in flat.type]))
         return pa.table([pa.array(np.bincount(bin_of, weights=fills).astype(np.int64)), lists], ["fill", "members"])
 
-    first = F.col("members")[0]
-    share = F.pmod(F.xxhash64(first["doc_id"], first["piece"], first["ids_crc32"], F.size("members")), F.lit(parts))
-    return bins.withColumn("share", share).groupBy("share").applyInArrow(lambda t: pack(t.drop_columns(["share"])), f"fill long, members array<{MEMBER}>")
+    # By position in the written table, so that repeated rows are dealt like any others.
+    dealt = bins.withColumn("share", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(parts)))
+    return dealt.groupBy("share").applyInArrow(lambda t: pack(t.drop_columns(["share"])), f"fill long, members array<{MEMBER}>")
 
 
 def pack_pieces(pieces: DataFrame, capacity: int = 1024, nearly_full: float = 0.995, per_task: int = 20_000) -> DataFrame:

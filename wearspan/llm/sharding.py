@@ -44,7 +44,7 @@ def position(df: DataFrame, name: str) -> Column:
     if df.schema[name].dataType.typeName() == "string":
         head = F.substring(F.rpad(F.hex(F.col(name)), 14, "0"), 1, 14)
         return F.conv(head, 16, 10).cast("double")
-    number = F.col(name).cast("double")
+    number = F.nanvl(F.greatest(F.least(F.col(name).cast("double"), F.lit(1e300)), F.lit(-1e300)), F.lit(None).cast("double"))
     return F.signum(number) * F.log1p(F.abs(number))
 
 
