@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wearspan.llm import imatch, minhash, packing, pages, personal, pieces, secrets, sharding, toxicity, vectors
+from wearspan.llm import imatch, minhash, oracles, packing, pages, personal, pieces, secrets, sharding, toxicity, vectors
 from wearspan.llm.frames import table
 
 VOCABULARY_FILE = "byte_bpe_50k.json"
@@ -74,4 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_secret_scans": op10_secret_scans,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_minhash": oracles.NEAR_DOCUMENTS,
+    "op7_p_stable": oracles.NEAR_VECTORS,
+}
