@@ -221,7 +221,8 @@ def near_components(docs: DataFrame, p: NearParams = NearParams()) -> DataFrame:
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketch = saved(sketched(slim, p), "sketches")
     named = sketch.where("digest IS NOT NULL AND doc_id IS NOT NULL")
-    classes = named.groupBy("digest").agg(F.min("doc_id").alias("node"))
+    # Written, so that joins by digest are plain ones, in which Spark can split the digest of a hot group.
+    classes = saved(named.groupBy("digest").agg(F.min("doc_id").alias("node")), "nodes")
     heads = saved(named.join(classes, "digest").where("doc_id = node").select("node", "digest", F.col("n_shingles").alias("n"), "sig", "bands").dropDuplicates(["node", "digest"]).drop("digest"), "classes")
 
     spread = heads.select("node", F.explode("bands").alias("key"))
