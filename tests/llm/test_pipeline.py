@@ -27,7 +27,7 @@ def folder(spark, documents, tmp_path_factory):
         labels.append((i, 1, int(toxic)))
     clean = [t for i, t in rows if i % 5]
     rows += [(500 + i, clean[i] + " added") for i in range(20)] + [(600, clean[30])] * 2
-    rows += [(700, 'set token = "abcdef123456" here ' + clean[40]), (701, None), (702, ""), (None, clean[50] + " q")]
+    rows += [(700, 'set token = "abcdef123456" here ' + " ".join(reversed(clean[40].split()))), (701, None), (702, ""), (None, clean[50] + " q")]
     path = str(tmp_path_factory.mktemp("corpus"))
     documents(rows).write.parquet(f"{path}/documents.parquet")
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
