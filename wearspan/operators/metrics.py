@@ -40,11 +40,17 @@ def ratio(top: Column, bottom: Column) -> Column:
     return F.coalesce(F.try_divide(top.cast("double"), bottom.cast("double")), F.lit(0.0))
 
 
-def confusion(rows: DataFrame, truth: str, predicted: str, by: list[str] | None = None) -> DataFrame:
-    """One row per group with columns `t<truth>_p<predicted>`."""
+def confusion(
+    rows: DataFrame, truth: str, predicted: str, by: list[str] | None = None, times: str | None = None
+) -> DataFrame:
+    """One row per group with columns `t<truth>_p<predicted>`; `times` names how often a row counts."""
+
+    def counted(cell: Column) -> Column:
+        return F.count_if(cell) if times is None else F.coalesce(F.sum(F.when(cell, F.col(times))), F.lit(0).cast("long"))
+
     return rows.groupBy(*(by or [])).agg(
         *[
-            F.count_if((F.col(truth) == t) & (F.col(predicted) == p)).alias(f"t{t}_p{p}")
+            counted((F.col(truth) == t) & (F.col(predicted) == p)).alias(f"t{t}_p{p}")
             for t in DOMAIN
             for p in DOMAIN
         ]

@@ -30,11 +30,13 @@ def judged(spark: SparkSession, sf_dir: str) -> DataFrame:
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metric history: one run per engine, one step per rule threshold.
 
-    The rows are multiplied by the steps before a map-side aggregate, not before a shuffle.
+    Rows are counted by engine, level and label first; only those few counts are multiplied by the steps.
     """
     step = F.col("step")
     answered = (
         judged(spark, sf_dir)
+        .groupBy(ENTITY, LABEL, "level")
+        .agg(F.count(F.lit(1)).alias("times"))
         .withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(STEPS - 1))))
         .withColumn(
             "answer",
@@ -43,7 +45,7 @@ def history(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("run_id", F.concat(F.lit("run_"), F.col(ENTITY)))
     )
     return gate_metrics(
-        confusion(answered, LABEL, "answer", ["run_id", "step"]), ["run_id", "step"]
+        confusion(answered, LABEL, "answer", ["run_id", "step"], "times"), ["run_id", "step"]
     )
 
 
