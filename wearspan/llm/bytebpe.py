@@ -42,7 +42,7 @@ class ByteBpe:
     others the tokenizer itself. The cache is emptied when it holds `cache_words` entries.
     """
 
-    def __init__(self, vocabulary: bytes, cache_words: int = 600_000) -> None:
+    def __init__(self, vocabulary: bytes, cache_words: int = 400_000) -> None:
         text = vocabulary.decode()
         self.exact = Tokenizer.from_str(text)
         self.exact.encode_special_tokens = True

@@ -134,7 +134,7 @@ def sentence_words(text: str) -> list[str]:
 class WordScorer:
     """Margins of words under a model, cached up to `cache_words` entries."""
 
-    def __init__(self, model: ToxicityModel, cache_words: int = 800_000) -> None:
+    def __init__(self, model: ToxicityModel, cache_words: int = 500_000) -> None:
         self.model = model
         self.kernel = StringKernel(model.landmarks, model.kernel)
         self.cache: dict[str, float] = {}
