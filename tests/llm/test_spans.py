@@ -55,6 +55,24 @@ def test_contexts_discover_unknown_identifiers(documents):
     assert "context" not in "".join(got[i] for i in (11, 12, 15, 16))
 
 
+def test_identifiers_end_at_words(documents):
+    wanted = {
+        "phone: 5551234567 The next": ["5551234567"],
+        "SSN: 123-45-6789 Name": ["123-45-6789"],
+        "ID: X12345678 Expires 2030": ["X12345678"],
+        "12345678 A man": ["12345678"],
+        "12345678-A, 978 3 16 148410-X": ["12345678-A", "978 3 16 148410-X"],
+        "AB/12 34 56 78 2nd": ["AB/12 34 56 78"],
+        "no 1234 Name, 12345abc or 12345@x": [],
+        "9" * 60 + " Then": ["9" * 60],
+        " ".join(["12AB"] * 9000) + " Then": [" ".join(["12AB"] * 9000)],
+    }
+    rows = personal.spotted(documents(list(enumerate(wanted))), personal.BootstrapParams()).collect()
+    got = {r["doc_id"]: [c["value"] for c in r["ids"]] for r in rows}
+    for i, (text, values) in enumerate(wanted.items()):
+        assert got[i] == values, text
+
+
 SECRET_CASES = {
     'aws_secret_access_key = "wJalrXUtnFEMIK7MDENG"': ["wJalrXUtnFEMIK7MDENG"],
     'k = "abc123XYZ998"\nclientSecret = k': ["abc123XYZ998"],

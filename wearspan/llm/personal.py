@@ -24,8 +24,12 @@ PATTERNS = {
     "card": r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){11,}+",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
 }
-# An identifier: up to six capitals, then digits and capitals, possibly in groups; five digits at least.
-IDENTIFIER = r"(?<![A-Za-z0-9@.+-])[A-Z]{0,6}[-/]?[0-9](?:[-/ .]?[A-Z0-9]){4,31}+(?![A-Za-z0-9@])"
+# An identifier: up to six capitals, then a digit and four or more digits and capitals, possibly in groups. A group
+# ends at a word boundary; behind a blank it needs a digit, so that it takes no part of the next word.
+IDENTIFIER = (
+    r"(?<![A-Za-z0-9@.+-])[A-Z]{0,6}[-/]?[0-9]"
+    r"(?:(?:[-/.](?=[A-Z0-9]++(?![a-z@]))| (?=[A-Z]*+[0-9][A-Z0-9]*+(?![a-z@])))?[A-Z0-9]){4,}+(?![A-Za-z0-9@])"
+)
 CUE = r"([\p{L}]+)([^\p{L}\p{N}]{1,4})$"
 TWO_WORDS = r"([\p{L}]+[ ]+[\p{L}]+)[ ]$"
 
