@@ -73,6 +73,62 @@ def test_identifiers_end_at_words(documents):
         assert got[i] == values, text
 
 
+def test_scores_settle_and_discovered_identifiers_seed_cues(documents):
+    rows = [(i, f"My phone: +1 555 010 {1000 + i} today") for i in range(30)]
+    rows += [(100 + i, f"phone: 77{i:06d}") for i in range(10)] + [(200 + i, f"Passport: 77{i:06d}") for i in range(10)]
+    rows += [(300, "passport: XK551234"), (301, "visa: XK551234"), (302, "visa: 99887766")]
+    # s = 40 / 128: above the threshold only when the scores have settled.
+    rows += [(400 + i, f"host: 10.1.2.{i}") for i in range(40)] + [(500 + i, f"host: {88000000 + i}") for i in range(88)]
+    rows += [(700, "weak: 10.1.2.1"), (701, "weak: 10.1.2.2"), (702, "weak: 66554433")]
+    got = {r["doc_id"]: r["spans"] for r in personal.personal_report(documents(rows)).collect()}
+    assert all("context" in got[i] for i in (*range(100, 110), *range(200, 210), 300, *range(500, 588)))
+    assert not any("context" in got[i] for i in (301, 302, 702))
+
+
+def settled(edges, p):
+    """Confidences by plain iteration over all edges (pattern, kind, value)."""
+    patterns = {}
+    while True:
+        best = {}
+        for q, kind, value in edges:
+            if kind == "id":
+                for (r, k), c in patterns.items():
+                    if r == q:
+                        best[value, k] = max(best.get((value, k), 0.0), c)
+        new = {}
+        for q in {e[0] for e in edges}:
+            own = [e for e in edges if e[0] == q]
+            for k in {e[1] for e in edges} - {"id"}:
+                told = [best.get((v, k), 0.0) for _, kind, v in own if kind == "id"]
+                seeds = sum(kind == k for _, kind, _ in own)
+                if seeds + sum(b >= p.confidence for b in told) >= p.seeds:
+                    new[q, k] = (seeds + 0.9 * sum(told)) / (len(own) + 1)
+        if new.keys() == patterns.keys() and all(abs(new[x] - patterns[x]) < 1e-12 for x in new):
+            return new
+        patterns = new
+
+
+def test_settled_confidences_equal_plain_iteration(spark):
+    import random
+
+    rng = random.Random(11)
+    spots, edges = [], set()
+    for c in range(9):
+        word = "abcdefghi"[c] * 3
+        for kind, pool in (("phone", 12), ("email", 8), ("id", 25)):
+            for v in rng.sample(range(pool), rng.randrange(pool // 2) if c > 3 or kind != "phone" else pool - 2):
+                value = f"{kind.upper()}{v}" if c % 3 or kind != "id" else f"OWN{c}V{v}"
+                spots.append((kind, value, f"see {word}: "))
+                edges.add((f"1 {word} :", kind, value))
+    row = "base array<struct<start:int,end:int,kind:string,value:string,front:string>>, ids array<struct<start:int,end:int,kind:string,value:string,front:string>>"
+    rows = [([(0, 1, k, v, f)] if k != "id" else [], [(0, 1, k, v, f)] if k == "id" else []) for k, v, f in spots]
+    p = personal.BootstrapParams(epsilon=1e-9, confidence=0.3)
+    got = {(r["pattern"], r["kind"]): r["confidence"] for r in personal.confident_patterns(spark.createDataFrame(rows, row), p).collect()}
+    want = {x: c for x, c in settled(edges, p).items() if c >= p.confidence}
+    assert got.keys() == want.keys() and len(want) > 4
+    assert all(abs(got[x] - want[x]) < 1e-6 for x in want)
+
+
 SECRET_CASES = {
     'aws_secret_access_key = "wJalrXUtnFEMIK7MDENG"': ["wJalrXUtnFEMIK7MDENG"],
     'k = "abc123XYZ998"\nclientSecret = k': ["abc123XYZ998"],

@@ -36,10 +36,10 @@ TWO_WORDS = r"([\p{L}]+[ ]+[\p{L}]+)[ ]$"
 
 @dataclass(frozen=True)
 class BootstrapParams:
-    """rounds of scoring; seeds: distinct seed values that a pattern needs; confidence of a pattern that may
-    discover; look: characters in front of an instance that may hold its cue."""
+    """epsilon: rounds of scoring end when no confidence rises by more; seeds: distinct seed values that a pattern
+    needs; confidence of a pattern that may discover; look: characters in front of an instance that may hold its cue."""
 
-    rounds: int = 3
+    epsilon: float = 1e-4
     seeds: int = 3
     confidence: float = 0.7
     look: int = 48
@@ -127,26 +127,40 @@ def cues(front: Column) -> Column:
 
 
 def confident_patterns(rows: DataFrame, p: BootstrapParams) -> DataFrame:
-    """(pattern, kind, confidence) after some rounds of scoring on the pattern-instance graph.
+    """(pattern, kind, confidence) when the scores on the pattern-instance graph have settled.
 
     A seed counts 1 for its kind. A pattern's confidence in a kind is the sum of its instances' scores over
     their number plus one, so mixed and rare patterns stay low; an instance that is no seed gets the
-    best confidence of its patterns, discounted. Only patterns with `seeds` distinct seeds of one kind take part.
+    best confidence of its patterns, discounted. Patterns with `seeds` distinct seeds of one kind take part; an
+    instance that a confident pattern has discovered is such a seed in the next round, with its own score.
+
+    Confidences only rise, and what is left to rise shrinks by a tenth a round at least. Instances with one pattern feed
+    only that one, so they are a number of the pattern, and its confidence is solved for them.
     """
     both = rows.select(F.explode(F.concat("base", "ids")).alias("s")).select("s.kind", F.upper(F.regexp_replace("s.value", "[ ./-]", "")).alias("value"), F.explode(cues(F.col("s.front"))).alias("pattern"))
-    edges = both.groupBy("pattern", "kind", "value").agg(F.count("*").alias("n"))
-    seeded = edges.where(F.col("kind") != "id").groupBy("pattern", "kind").agg(F.count("*").alias("seeds")).where(F.col("seeds") >= p.seeds)
-    edges = saved(edges.join(seeded.select("pattern").distinct(), "pattern", "left_semi"), "graph")
-    of_pattern = edges.groupBy("pattern").agg(F.count("*").alias("instances"))
-    seeds = edges.where(F.col("kind") != "id").select("pattern", "kind", "value", F.lit(1.0).alias("score"))
+    edges = saved(both.groupBy("pattern", "kind", "value").agg(F.count("*").alias("n")), "graph")
     open_edges = edges.where(F.col("kind") == "id").select("pattern", "value")
-    scored = seeds
-    for i in range(p.rounds):
-        patterns = scored.groupBy("pattern", "kind").agg(F.sum("score").alias("sum")).join(of_pattern, "pattern")
-        patterns = saved(patterns.select("pattern", "kind", (F.col("sum") / (F.col("instances") + 1)).alias("confidence")).join(seeded.select("pattern", "kind"), ["pattern", "kind"], "left_semi"), "patterns")
-        if i + 1 < p.rounds:
-            reached = open_edges.join(patterns, "pattern").groupBy("value", "kind").agg((0.9 * F.max("confidence")).alias("score"))
-            scored = seeds.unionByName(open_edges.join(reached, "value").select("pattern", "kind", "value", "score"))
+    several = saved(open_edges.groupBy("value").agg(F.count("*").alias("patterns")).where("patterns > 1").select("value"), "several")
+    shared = saved(open_edges.join(several, "value", "left_semi").select("pattern", "value"), "shared")
+    of_pattern = edges.groupBy("pattern").agg(F.count("*").alias("instances"), F.count_if(F.col("kind") == "id").alias("ids"))
+    of_pattern = of_pattern.join(shared.groupBy("pattern").agg(F.count("*").alias("shared")), "pattern", "left")
+    # Of every instance, its own ids give back nine tenths of the pattern's confidence.
+    of_pattern = saved(of_pattern.select("pattern", (F.col("instances") + 1 - 0.9 * (F.col("ids") - F.coalesce("shared", F.lit(0)))).alias("weight")), "weights")
+    seeds = saved(edges.where(F.col("kind") != "id").groupBy("pattern", "kind").agg(F.count("*").alias("seeds")), "seeds")
+    patterns = saved(seeds.where(F.col("seeds") >= p.seeds).join(of_pattern, "pattern").select("pattern", "kind", (F.col("seeds") / F.col("weight")).alias("confidence")), "patterns")
+    links = shared.limit(1).count()
+    while links:
+        reached = shared.join(patterns, "pattern").groupBy("value", "kind").agg(F.max("confidence").alias("best"))
+        told = shared.join(reached, "value").groupBy("pattern", "kind").agg(F.sum(0.9 * F.col("best")).alias("more"), F.count_if(F.col("best") >= p.confidence).alias("found"))
+        told = told.join(seeds, ["pattern", "kind"], "full").select("pattern", "kind", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("seeds", "found", "more")])
+        scored = told.where(F.col("seeds") + F.col("found") >= p.seeds).join(of_pattern, "pattern")
+        scored = scored.join(patterns.withColumnRenamed("confidence", "last"), ["pattern", "kind"], "left").withColumn("last", F.coalesce("last", F.lit(0.0)))
+        scored = saved(scored.select("pattern", "kind", "last", F.greatest("last", (F.col("seeds") + F.col("more")) / F.col("weight")).alias("confidence")), "patterns")
+        patterns = scored.drop("last")
+        # A pattern that has just become confident may let new ones take part.
+        risen = (F.col("confidence") - F.col("last") > p.epsilon) | ((F.col("confidence") >= p.confidence) & (F.col("last") < p.confidence))
+        if not scored.where(risen).limit(1).count():
+            break
     return patterns.where(F.col("confidence") >= p.confidence)
 
 
