@@ -93,6 +93,20 @@ def test_no_row_of_many_batches_is_lost(spark, tmp_path):
     assert (7, None, None) in kept and (59, rows[59][1], -1.0) in kept and (1, rows[1][1], 99.0) in late
 
 
+def test_rows_a_microsecond_apart_are_both_kept(spark, tmp_path):
+    schema = "at timestamp, plain timestamp_ntz, inner struct<seen:array<timestamp>>"
+    values = [("123456", "5", "5"), ("123457", "5", "5"), ("5", "123456", "5"), ("5", "123457", "5"), ("5", "5", "123456"), ("5", "5", "123457")]
+    lines = [f"TIMESTAMP'2024-01-01 00:00:00.{a}' AS at, TIMESTAMP_NTZ'2024-01-01 00:00:00.{b}' AS plain, named_struct('seen', array(TIMESTAMP'2024-01-01 00:00:00.{c}')) AS inner" for a, b, c in values]
+    rows = spark.sql(" UNION ALL ".join(f"SELECT {line}" for line in [*lines, lines[0]]))
+    for _ in range(2):
+        rows.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        feed = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+        start_distinct(feed, str(tmp_path / "out"), "at", "20 MINUTES", str(tmp_path / "state")).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out/kept")).select("at", "plain", "inner").distinct().count() == len(values)
+    counts = spark.read.parquet(str(tmp_path / "out/counts")).selectExpr("sum(received)", "sum(kept)", "sum(duplicates)").first()
+    assert tuple(counts) == (14, 6, 8)
+
+
 def request_files(folder):
     folder.mkdir()
     good = [[float(i + j) for j in range(8)] for i in range(8)]

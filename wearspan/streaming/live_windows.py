@@ -105,6 +105,14 @@ def live_windows(feed: DataFrame, window: int, features: list[str]) -> DataFrame
     )
 
 
+# Rows as JSON with every microsecond of their timestamps, nested ones too; by default it is cut to milliseconds.
+EXACT = {
+    "ignoreNullFields": "false",
+    "timestampFormat": "G yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXXXX",
+    "timestampNTZFormat": "G yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def start_distinct(
     feed: DataFrame,
     folder: str,
@@ -127,7 +135,7 @@ def start_distinct(
     def split(rows: DataFrame, batch: int) -> None:
         spark = rows.sparkSession
         keys = columns or rows.columns
-        marked = rows.withColumn(digest, F.sha2(F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}), 256))
+        marked = rows.withColumn(digest, F.sha2(F.to_json(F.struct(*keys), EXACT), 256))
         marked = marked.withColumn(when, F.col(event_time).cast("timestamp")).persist()
         seen = spark.createDataFrame([], f"{digest} string, {when} timestamp")
         if batch:
