@@ -40,3 +40,20 @@ def test_odd_pages(spark):
     assert out[6]["n_chars"] == 99_999 and out[None]["text"] == ""
     assert pages.page_texts(df).count() == 7
     assert pages.page_texts(df.limit(0)).count() == 0
+
+
+def test_excluded_parts_neither_win_nor_cut(spark):
+    links = "<ul>" + "".join(f'<li><a href="/{i}">link</a></li>' for i in range(10)) + "</ul>"
+    reader = "<p>" + "reader " * 100 + "</p>"
+    one, two = "first " * 20, "second " * 12
+    behind = f"<p>{one}</p>{links}<section class=comments>{reader}</section>"
+    split = f"<p>{one}</p><section class=comments>{'<p>x</p>' * 60}{reader}</section><p>{two}</p>"
+    bare = pages.PageWeights({})
+    assert pages.main_text(behind, bare) == one.strip()
+    assert pages.main_text(split, bare) == f"{one.strip()}\n\n{two.strip()}"
+    # Learned from pages whose comments outweigh the article, behind it and inside.
+    rows = [(1, "u", f"<article><p>{one}</p></article>{links}<section class=comments>{reader * 9}</section>"), (2, "u", f"<article>{split}</article>{links}")]
+    learned = pages.fit_weights(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert learned.of("w:p") > 0 > learned.of("w:li+a")
+    assert pages.main_text(behind, learned) == one.strip()
+    assert pages.main_text(split, learned) == f"{one.strip()}\n\n{two.strip()}"

@@ -2,7 +2,7 @@
 
 A page is a row of words and tags. Words score positive and tags negative, with weights learned from pages
 whose authors marked the main content; one linear scan finds the contiguous region of the highest sum.
-Blocks of the region make the text, without elements that are never content.
+Blocks of the region make the text. Elements that are never content neither earn nor cost, and are left out.
 """
 
 from __future__ import annotations
@@ -107,8 +107,9 @@ def tokens(page: str, markers: frozenset[str] = frozenset(("article", "main")))
             if tag in ("li", "option", "tr", "td", "th", "dt", "dd") and stack[-1][0] == tag:
                 close(tag)
             never, marked = stack[-1][1:]
+            never = never or never_content(tag, m["rest"])
             if tag not in VOID and not m["rest"].endswith("/"):
-                stack.append((tag, never or never_content(tag, m["rest"]), marked or tag in markers))
+                stack.append((tag, never, marked or tag in markers))
         if tag in INLINE_GAPS:
             out.append(Token(f"t:{tag}", 0, " ", block, never, marked))
         else:
@@ -149,7 +150,7 @@ def best_region(scores: list[float]) -> tuple[int, int]:
 def main_text(page: str, weights: PageWeights) -> str:
     """The text of the best region, widened to whole blocks; blocks joined by a blank line."""
     row = tokens(page)
-    first, last = best_region([weights.of(t.kind) * max(1, t.words) for t in row])
+    first, last = best_region([0.0 if t.never else weights.of(t.kind) * max(1, t.words) for t in row])
     if first == last:
         return ""
     low, high = row[first].block, row[last - 1].block
@@ -166,7 +167,8 @@ def fit_weights(pages: DataFrame, sample_pages: int = 20_000, kinds: int = 1000,
 
     Labelled pages are those with an article or main element; at most about `sample_pages` of them, chosen
     by a hash of the page, are counted, and the driver receives at most `kinds` counts. Without any such page
-    the defaults hold.
+    the defaults hold. Tags and link words of elements that are never content count as outside. Their other
+    words are not scored and not counted: long comments in paragraphs would make those of articles negative.
     """
     ship(pages.sparkSession)
     marked = pages.select(F.col(column).cast("string").alias("html")).where("html RLIKE '(?i)<(article|main)[ >]'")
@@ -181,7 +183,8 @@ def fit_weights(pages: DataFrame, sample_pages: int = 20_000, kinds: int = 1000,
             for _, texts in chunks(batch, "html"):
                 for text in texts:
                     for t in tokens(text):
-                        (inside if t.marked else outside)[t.kind] += max(1, t.words)
+                        if not t.never or t.kind[:1] == "t" or t.kind.endswith("+a"):
+                            (inside if t.marked and not t.never else outside)[t.kind] += max(1, t.words)
         names = [k for k in {*inside, *outside} if k]
         yield pa.record_batch(
             [pa.array(names, pa.string()), pa.array([inside[k] for k in names], pa.int64()), pa.array([outside[k] for k in names], pa.int64())], ["kind", "inside", "outside"]
