@@ -31,3 +31,21 @@ def test_repeated_rows_and_small_tables(documents):
     rows = [(1, "one two three four"), (1, "one two three four"), (1, "other text"), (None, "no name"), (2, "last")]
     out = imatch.fingerprints(documents(rows)).collect()
     assert sorted(str(r["doc_id"]) for r in out) == ["1", "1", "1", "2", "None"]
+
+
+def test_very_frequent_words_do_not_thin_the_lexicon(documents):
+    frequent = [f"often{i}" for i in range(760)]
+    rows = [(i, " ".join([*(f"own{i}x{k}" for k in range(40)), *frequent])) for i in range(12)]
+    # An even one is followed by its exact copy, whose beginning then replaces its end.
+    rows = [(2 * i + j, t) for i, t in rows for j in (0, 1)]
+    for r in imatch.fingerprints(documents(rows)).collect():
+        level, _, hashes = r["fingerprint"].split(";")[0].partition(":")
+        assert level == "0" and sum(h != "" for h in hashes.split(",")) >= 10
+        assert [r["near_edited"] == 1.0, r["near_next"] == 1.0] == [r["doc_id"] % 2 == 0] * 2
+
+
+def test_words_cut_by_the_edit_are_no_terms(documents):
+    # The word at the seam of an edited text and its last one are cut, and in no document.
+    out = {r["doc_id"]: r for r in imatch.fingerprints(documents([(1, "alpha beta gamma1234"), (2, "alpha delta epsilon12"), (3, "zeta eta"), (4, "theta iota")])).collect()}
+    filled = {i: sum(h != "" for h in out[i]["edited_fingerprint"].split(";")[0].partition(":")[2].split(",")) for i in (1, 2)}
+    assert filled[1] <= 2 and filled[2] <= 2

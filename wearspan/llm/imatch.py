@@ -1,7 +1,7 @@
 """I-Match fingerprints over randomised lexicon subsets, in Spark functions only.
 
-Terms within a band of inverse document frequency make the lexicon. A hash deals it into subsets, and
-thins them by powers of two, so that texts of every length keep a few terms per subset. A document's
+Terms of a least inverse document frequency make the lexicon. A hash deals it into subsets, and thins them
+by powers of two, so that texts with any number of lexicon terms keep a few per subset. A document's
 terms in a subset, distinct and sorted, are hashed; these hashes are its fingerprint.
 """
 
@@ -19,7 +19,7 @@ from wearspan.llm.frames import saved
 @dataclass(frozen=True)
 class MatchParams:
     """subsets of the lexicon; per_subset: terms that a document should keep in each; common: greatest share of
-    documents that may hold a term of the lexicon. The other end of the band is a term seen once."""
+    documents that may hold a term of the lexicon. The band has no other end: terms seen once are in."""
 
     subsets: int = 16
     per_subset: float = 1.5
@@ -33,7 +33,7 @@ def term_codes(text: Column) -> Column:
 
 
 def level_of(count: Column, p: MatchParams) -> Column:
-    """How often a lexicon is halved for a document with that many distinct terms."""
+    """How often a lexicon is halved for a document with that many of its terms."""
     return F.greatest(F.lit(0), F.floor(F.log2(F.greatest(count, F.lit(1)) / (p.subsets * p.per_subset)))).cast("int")
 
 
@@ -41,9 +41,8 @@ def subset_bits(p: MatchParams) -> int:
     return int(math.log2(p.subsets))
 
 
-def kept_terms(codes: Column, p: MatchParams) -> Column:
-    """The terms that survive the halvings of the document's level."""
-    level = level_of(F.size(codes), p)
+def kept_terms(codes: Column, level: Column, p: MatchParams) -> Column:
+    """The terms that survive the halvings of a level."""
     mask = (F.pow(F.lit(2.0), level) - 1).cast("long")
     return F.filter(codes, lambda c: F.shiftrightunsigned(c, subset_bits(p)).bitwiseAND(mask) == 0)
 
@@ -120,21 +119,23 @@ def fingerprints(docs: DataFrame, p: MatchParams = MatchParams()) -> DataFrame:
     joined = single.join(begins, ["doc_id", "code"])
     n = F.length("text")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - F.col("need")), F.col("begin"))
-    both = joined.select("doc_id", "code", F.sha2(edited, 256).alias("edited_sha256"), term_codes(F.col("text")).alias("own"), term_codes(edited).alias("new"))
-    both = both.select("doc_id", "code", "edited_sha256", level_of(F.size("own"), p).alias("own_level"), level_of(F.size("new"), p).alias("new_level"), kept_terms(F.col("own"), p).alias("own"), kept_terms(F.col("new"), p).alias("new"))
-    both = saved(both, "terms")
-
-    # The band of the lexicon, from document counts of all terms over all rows.
-    counts = rows.select(F.explode(term_codes(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    # The lexicon, from document counts of all terms over all rows: all terms but the common ones. Documents have n terms
+    # on average, so at most n / p.common terms are common, and one array holds them.
+    counts = saved(rows.select(F.explode(term_codes(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("df")), "counts")
     n_rows = rows.count()
-    lexicon = counts.where(F.col("df") <= max(1.0, p.common * n_rows)).select("term")
-    terms = both.select("doc_id", "code", F.explode(F.array_union("own", "new")).alias("term"))
-    inside = terms.join(lexicon, "term").groupBy("doc_id", "code").agg(F.collect_list("term").alias("band"))
-    marked = both.join(inside, ["doc_id", "code"], "left").withColumn("band", F.coalesce("band", F.array().cast("array<long>")))
+    common = counts.where(F.col("df") > max(1.0, p.common * n_rows)).agg(F.collect_list("term").alias("common"))
+    # Only the words at the two cuts of an edited text may be in no document.
+    whole = F.array_union(term_codes(F.col("text")), term_codes(F.regexp_replace("begin", r"[^ \n\t.,;:!?]+$", "")))
+    both = joined.crossJoin(F.broadcast(common)).select("doc_id", "code", F.sha2(edited, 256).alias("edited_sha256"), *[F.array_except(t, "common").alias(c) for c, t in (("own", term_codes(F.col("text"))), ("new", term_codes(edited)), ("whole", whole))])
+    both = both.withColumn("odd", F.array_except("new", "whole")).withColumn("own_level", level_of(F.size("own"), p)).withColumn("n_new", F.size("new"))
+    both = both.select("doc_id", "code", "edited_sha256", "own_level", "n_new", "odd", kept_terms(F.col("own"), F.col("own_level"), p).alias("own"), kept_terms(F.col("new"), level_of(F.col("n_new") - F.size("odd"), p), p).alias("new"))
+    both = saved(both, "terms")
+    unknown = both.select("doc_id", "code", F.explode("odd").alias("term")).join(counts, "term", "left_anti").groupBy("doc_id", "code").agg(F.collect_list("term").alias("unknown"))
+    marked = both.join(unknown, ["doc_id", "code"], "left").withColumn("unknown", F.coalesce("unknown", F.array().cast("array<long>")))
     prints = marked.select(
         "doc_id", "code", "edited_sha256",
-        fingerprint(F.array_intersect("own", "band"), F.col("own_level"), p).alias("fingerprint"),
-        fingerprint(F.array_intersect("new", "band"), F.col("new_level"), p).alias("edited_fingerprint"),
+        fingerprint(F.col("own"), F.col("own_level"), p).alias("fingerprint"),
+        fingerprint(F.array_except("new", "unknown"), level_of(F.col("n_new") - F.size("unknown"), p), p).alias("edited_fingerprint"),
     )
     prints = saved(prints.join(order, ["doc_id", "code"]), "prints")
     following = prints.select(F.col("doc_id").alias("next_id"), F.col("code").alias("next_code"), F.col("fingerprint").alias("next_fingerprint"))
