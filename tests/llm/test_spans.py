@@ -148,6 +148,18 @@ def test_literals_by_target_name():
         assert sorted(found) == sorted(wanted), text
 
 
+def test_every_source_and_every_sensitive_word():
+    cases = {
+        'x = a + b\nsecret_value = x\na = "Qw12zzRt9"\nb = "zXcVb99Lk"': ["Qw12zzRt9", "zXcVb99Lk"],
+        'clientSecret = a\na = b + c\nb = a\nc = "abc123XYZ998"': ["abc123XYZ998"],
+        'private_access = "abc123XYZ998"': ["abc123XYZ998"],
+        'encryption_private = "abc123XYZ998"': ["abc123XYZ998"],
+    }
+    for text, wanted in cases.items():
+        found = [text[s:e] for s, e, k, _ in secrets.secret_spans(text) if k == "literal"]
+        assert sorted(found) == sorted(wanted), text
+
+
 def test_secret_base_spans(documents):
     assign = r"(?ai:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
     texts = ['Token = "ab" TOKEN: abcdef', "password: token=abcdef1 api-key=zzzzzz apikey=zzzzzz", "AKIA" + "A" * 16 + " AKIAAKIAZZ", "é" + "0a" * 12 + "g" + "0" * 23, "paſſword=abcdefg toKen=abcdefg", ""]

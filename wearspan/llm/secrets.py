@@ -40,7 +40,8 @@ SENSITIVE = {
     "apikey": 1.0, "credential": 0.9, "credentials": 0.9, "bearer": 0.9, "auth": 0.6, "authorization": 0.8,
     "signature": 0.6, "key": 0.3, "private": 0.4, "access": 0.3, "api": 0.3, "client": 0.1, "encryption": 0.4, "signing": 0.4,
 }
-HINTS = ("pass", "pwd", "secret", "token", "key", "credential", "bearer", "auth", "signature")
+# A name scores only if it holds one of these; words that hold a shorter one are left to it.
+HINTS = tuple(w for w in SENSITIVE if not any(v != w and v in w for v in SENSITIVE))
 PLACEHOLDER = re.compile(r"(?i)\A(?:x+|\*+|\.+|none|null|true|false|undefined|changeme|example|placeholder|your[-_ ].*|<.*>|\$\{?.*|%.*%|\{\{.*)\Z")
 LEXEME = re.compile(
     r"""(?P<text>(?<!\w)(?:"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`))
@@ -162,8 +163,7 @@ def scored_literals(text: str) -> list[tuple[int, int, float]]:
     best: dict[tuple[int, int], float] = {}
     waiting: list[tuple[str, str]] = []
 
-    def give(name: str, values: list[Literal]) -> None:
-        weight = sensitivity(name)
+    def give(weight: float, values: list[Literal]) -> None:
         for start, end, value in values:
             score = weight * literal_quality(value)
             if score > best.get((start, end), 0.0):
@@ -178,14 +178,21 @@ def scored_literals(text: str) -> list[tuple[int, int, float]]:
                 values.append((start, end, other))
             waiting.append((name, other))
         known[name] = values
-        give(name, values)
-    sources = dict(waiting)
-    for name, other in waiting:  # constants that are defined after their use, through chains of names
-        seen = {name}
-        while other not in seen:
-            seen.add(other)
-            give(name, known.get(other, []))
-            other = sources.get(other, name)
+        give(sensitivity(name), values)
+    # Constants that are defined after their use, through all names they reach; the most sensitive name goes first.
+    sources: dict[str, list[str]] = {}
+    for name, other in waiting:
+        sources.setdefault(name, []).append(other)
+    weights = {name: w for name in sources if (w := sensitivity(name))}
+    seen: set[str] = set()
+    for name in sorted(weights, key=weights.__getitem__, reverse=True):
+        ahead = [name]
+        while ahead:
+            for other in sources.get(ahead.pop(), ()):
+                if other not in seen:
+                    seen.add(other)
+                    give(weights[name], known.get(other, []))
+                    ahead.append(other)
     return [(s, e, v) for (s, e), v in best.items()]
 
 
