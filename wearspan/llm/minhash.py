@@ -212,7 +212,8 @@ def near_components(docs: DataFrame, p: NearParams = NearParams()) -> DataFrame:
     bucket. First the two best partners of a node leave a block; the links confirmed among them join
     components. Then every other candidate pair between *different* components is judged by a finer
     signature and, if that allows a link, confirmed as well. So each candidate pair is confirmed, refuted, or
-    inside one component already, and no bucket emits all its pairs.
+    inside one component already. The second look emits all pairs of a large group of texts just below the threshold,
+    which stay in separate components; each carries two sets into its confirmation.
 
     NULL or empty texts and texts of blanks have no shingles and link with nothing. Rows that share a doc_id are one
     document with the links of all its texts. Rows without doc_id link with nothing and are kept.
