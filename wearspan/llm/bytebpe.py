@@ -1,10 +1,10 @@
-"""Token ids of a byte-level BPE vocabulary file, whole texts, cached word by word."""
+"""Token ids of a byte-level BPE vocabulary file, whole texts."""
 
 from __future__ import annotations
 
 import json
-import struct
 import zlib
+from array import array
 
 import tiktoken
 from tokenizers import Tokenizer
@@ -26,7 +26,7 @@ _encoders: dict[int, ByteBpe] = {}
 
 
 def shared_encoder(vocabulary: bytes) -> ByteBpe:
-    """This worker process's encoder of a vocabulary, with the words it has cached so far."""
+    """This worker process's encoder of a vocabulary."""
     key = zlib.crc32(vocabulary)
     if key not in _encoders:
         _encoders.clear()
@@ -35,47 +35,27 @@ def shared_encoder(vocabulary: bytes) -> ByteBpe:
 
 
 class ByteBpe:
-    """Encodes texts to little-endian 32-bit ids.
+    """Encodes texts to little-endian 32-bit ids, as the tokenizers library does with its file as it is.
 
-    A text is cut at single spaces; a piece that starts with white space makes the cut ambiguous, and
-    then the whole text goes to the tokenizer. Words of Latin script take the merge table, all
-    others the tokenizer itself. The cache is emptied when it holds `cache_words` entries.
+    Texts of Latin script take the merge table, all others the tokenizer itself, and so do texts with the
+    string of a special token, which becomes that token.
     """
 
-    def __init__(self, vocabulary: bytes, cache_words: int = 400_000) -> None:
+    def __init__(self, vocabulary: bytes) -> None:
         text = vocabulary.decode()
         self.exact = Tokenizer.from_str(text)
-        self.exact.encode_special_tokens = True
         alphabet = byte_alphabet()
-        vocab = json.loads(text)["model"]["vocab"]
-        ranks = {bytes(alphabet[c] for c in token): i for token, i in vocab.items() if all(c in alphabet for c in token)}
+        parsed = json.loads(text)
+        vocab = parsed["model"]["vocab"]
+        added = {t["content"]: t["id"] for t in parsed.get("added_tokens") or ()}
+        self.special = list(added)
+        self.size = max([*vocab.values(), *added.values()]) + 1
+        ranks = {bytes(alphabet[c] for c in token): i for token, i in vocab.items() if all(c in alphabet for c in token) and token not in added}
         self.fast = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.cache: dict[str, bytes | None] = {}
-        self.cache_words = cache_words
-
-    def _exact(self, text: str) -> bytes:
-        ids = self.exact.encode(text, add_special_tokens=False).ids
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def _piece(self, text: str) -> bytes:
-        if text.isascii() or max(text) < LATIN_END:
-            ids = self.fast.encode_ordinary(text)
-            return struct.pack(f"<{len(ids)}I", *ids)
-        return self._exact(text)
 
     def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        head, *words = text.split(" ")
-        cache = self.cache
-        found = list(map(cache.get, words))
-        if None in found:
-            if len(cache) > self.cache_words:
-                cache.clear()
-            for i, known in enumerate(found):
-                if known is None:
-                    word = words[i]
-                    if not word or word[0].isspace():
-                        return self._exact(text)
-                    found[i] = cache[word] = self._piece(" " + word)
-        return (self._piece(head) if head else b"") + b"".join(found)
+        if (text.isascii() or max(text) < LATIN_END) and not any(s in text for s in self.special):
+            ids = self.fast.encode_ordinary(text)
+        else:
+            ids = self.exact.encode(text, add_special_tokens=False).ids
+        return array("I", ids).tobytes()
