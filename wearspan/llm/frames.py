@@ -45,10 +45,10 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def saved(df: DataFrame, label: str) -> DataFrame:
+def saved(df: DataFrame, label: str, **options: str) -> DataFrame:
     """Write once to the shared folder and read back; the rows then survive lost executors."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

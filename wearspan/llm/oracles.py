@@ -28,3 +28,29 @@ n AS (SELECT x, count(*) AS n FROM links GROUP BY x),
 found AS (SELECT m.vec_id, coalesce(n.n, 0) AS n_links, least(m.vec_id, coalesce(l.y, m.vec_id)) AS component_id
   FROM embeddings m LEFT JOIN n ON n.x = m.vec_id LEFT JOIN least_id l ON l.x = m.vec_id)
 SELECT vec_id, n_links, component_id, vec_id = component_id AS kept FROM found"""
+
+FILTER_AUDIT = """WITH t AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS x FROM documents),
+w AS (SELECT doc_id, part, x, list_filter(string_split_regex(x, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS ws FROM t),
+firsts AS (SELECT x, min(doc_id) AS lo FROM t GROUP BY x),
+marks AS (SELECT doc_id, coalesce(max(CASE WHEN quality = 1 THEN 1 ELSE 0 END), 0) AS good, coalesce(max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END), 0) AS toxic
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+f AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    len(ws) < 50 AS a, 100 * len(list_distinct(ws)) < 65 * len(ws) AS b, 100 * length(regexp_replace(w.x, '[^A-Z]', '', 'g')) > 5 * length(w.x) AS c,
+    regexp_matches(w.x, '[#$%&*|]') AS d, coalesce(w.doc_id > lo, false) AS e
+  FROM w JOIN firsts ON firsts.x = w.x LEFT JOIN marks ON marks.doc_id = w.doc_id),
+cells AS (SELECT part, CASE WHEN a THEN 1 ELSE 0 END + CASE WHEN b THEN 2 ELSE 0 END + CASE WHEN c THEN 4 ELSE 0 END + CASE WHEN d THEN 8 ELSE 0 END + CASE WHEN e THEN 16 ELSE 0 END AS p,
+    count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, p),
+letters(l, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+orders AS (SELECT a.l || b.l || c.l || d.l || e.l AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM letters a, letters b, letters c, letters d, letters e WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31
+    AND len(list_distinct([a.bit, b.bit, c.bit, d.bit, e.bit])) = 5),
+steps AS (SELECT filter_order, step, bits[step] AS bit, list_sum(list_concat([0], bits[1:step - 1])) AS before FROM orders, range(1, 6) AS s(step)),
+parts AS (SELECT DISTINCT part FROM cells),
+told AS (SELECT p.part, s.filter_order, s.step, s.bit, CAST(s.before AS INTEGER) AS before, c.p, c.n, c.good, c.toxic, c.p & s.bit <> 0 AS fails, c.p & CAST(s.before AS INTEGER) = 0 AS present
+  FROM parts p JOIN cells c ON c.part = p.part, steps s)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step,
+  CAST(sum(CASE WHEN present AND NOT fails THEN n ELSE 0 END) AS BIGINT) AS kept, CAST(sum(CASE WHEN present AND fails THEN n ELSE 0 END) AS BIGINT) AS removed,
+  CAST(sum(CASE WHEN fails AND NOT present THEN n ELSE 0 END) AS BIGINT) AS redundant, CAST(sum(CASE WHEN p = bit THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+  CAST(sum(CASE WHEN present AND fails THEN good ELSE 0 END) AS BIGINT) AS good_lost, CAST(sum(CASE WHEN present AND fails THEN toxic ELSE 0 END) AS BIGINT) AS toxic_lost,
+  CAST(sum(CASE WHEN fails THEN n * 120 // bit_count(p) ELSE 0 END) AS BIGINT) AS shapley
+FROM told GROUP BY part, filter_order, step"""

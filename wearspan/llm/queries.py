@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wearspan.llm import imatch, minhash, oracles, packing, pages, personal, pieces, secrets, sharding, toxicity, vectors
+from wearspan.llm import filters, imatch, minhash, oracles, packing, pages, personal, pieces, rans, secrets, sharding, structure, toxicity, vectors
 from wearspan.llm.frames import table
+from wearspan.session import scratch_path
 
 VOCABULARY_FILE = "byte_bpe_50k.json"
 PIECE_FILE = "piece_bpe_32k.model"
@@ -61,6 +62,20 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
 
 
+def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return structure.repair_report(table(spark, sf_dir, "conversations"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filters.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_rans_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "tokens")
+    rans.write_tokens(table(spark, sf_dir, "documents"), path, packing.read_vocabulary(vocabulary_path(VOCABULARY_FILE)))
+    return rans.read_documents(spark, path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_toxicity": op2_toxicity,
@@ -72,9 +87,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bootstrapped_pii": op8_bootstrapped_pii,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_secret_scans": op10_secret_scans,
+    "op11_structure_repair": op11_structure_repair,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_rans_output": op13_rans_output,
 }
 
 ORACLES: dict[str, str] = {
     "op4_minhash": oracles.NEAR_DOCUMENTS,
     "op7_p_stable": oracles.NEAR_VECTORS,
+    "op12_filter_audit": oracles.FILTER_AUDIT,
 }
