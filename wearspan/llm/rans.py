@@ -61,7 +61,7 @@ class Frequencies:
             raise ValueError(f"frequencies add up to {frequency.sum()} and not to 2^{BITS}")
         start = np.concatenate([[0], np.cumsum(frequency, dtype=np.int64)[:-1]]).astype(np.uint64)
         slots = np.repeat(np.arange(len(frequency), dtype=np.uint32), frequency)
-        return cls(frequency.astype(np.uint64), start, slots, zlib.crc32(frequency.tobytes()))
+        return cls(frequency.astype(np.uint64), start, slots, zlib.crc32(np.trim_zeros(frequency, "b").tobytes()))
 
 
 def quantised(counts: np.ndarray, bits: int = BITS) -> np.ndarray:
