@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 
 from wearspan.llm import personal, secrets
 
@@ -181,3 +182,46 @@ def test_masking_keeps_the_rest(documents):
     got = {r["doc_id"]: r for r in secrets.mask_secrets(df).collect()}
     assert got[1]["text"] == 'say [secret]" twice' and got[1]["n_chars"] == len(got[1]["text"])
     assert got[2]["text"] == "clean" and got[3]["text"] is None and got[1].asDict().keys() == set(df.columns)
+
+
+def test_long_sources_take_time_in_proportion():
+    doubling = 'x = "Qw12zzRt9"\n' + "x = x + x\n" * 1_000 + "secret_value = x\n"
+    appends = 'x = "Qw12zzRt9"\n' + 'x = x + "zXcVb99Lk"\n' * 100_000 + "secret_value = x\n"
+    calls = "".join(f'token = "abcdef{i:06d}"\nprivate_key_{i} = "Qw12zz{i:06d}"\n' for i in range(20_000))
+    began = time.monotonic()
+    assert [k for _, _, k, _ in secrets.secret_spans(doubling)] == ["literal"]
+    assert len(secrets.secret_spans(appends)) == 100_001
+    assert len(secrets.secret_spans(calls)) == 40_000
+    assert time.monotonic() - began < 30
+
+
+def test_long_texts_of_personal_data(documents):
+    chain = "a@b" + ".c" * 20_000
+    mails = "".join(f"write to user{i}@example{i % 7}.org, " for i in range(3_000))
+    signs = "1.2.3.4 " * 2_000 + "+1 555 010 1000 " * 2_000 + "id 12345678A " * 2_000 + "4539148803436467x " * 1_000
+    rows = [(1, chain), (2, mails), (3, signs), (4, "9" * 200_000), (5, "+1" + " 2" * 50_000), (6, "a@" * 50_000), (7, "1." * 50_000)]
+    began = time.monotonic()
+    out = {r["doc_id"]: r for r in personal.personal_report(documents(rows).repartition(4)).collect()}
+    assert time.monotonic() - began < 100
+    assert [out[i]["n_email"] for i in (1, 2, 6)] == [1, 3_000, 0] and out[1]["spans"] == f"email:0:{len(chain)}"
+    for i, text in rows[1:3]:  # plain search takes quadratic time in the others
+        want = sorted((m.start(), n, m.end(), k) for n, (k, p) in enumerate(PERSONAL.items()) for m in re.finditer(p, text) if good(k, m[0]))
+        joined = ",".join(f"{k}:{s}:{e}" for s, _, e, k in want)
+        assert out[i]["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest(), i
+
+
+def test_identifiers_that_touch_base_spans_go(documents):
+    import random
+
+    rng = random.Random(8)
+    bits = ["AB12345", "12345678", "1.2.3.4", "x@y.zz", "+1 555 010 1000", " ", " ", "-", "/", "99-12345"]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.choice([5, 40, 3_000]))) for _ in range(25)]
+    rows = personal.spotted(documents(list(enumerate(texts))), personal.BootstrapParams()).collect()
+    whole = 0
+    for r in rows:
+        text, base = texts[r["doc_id"]], [(b["start"], b["end"]) for b in r["base"]]
+        ids = [(m.start(), m.end()) for m in __import__("regex").finditer(personal.IDENTIFIER, text)]
+        free = [(s, e) for s, e in ids if not any(b < e and s < f for b, f in base)]
+        assert [(c["start"], c["end"]) for c in r["ids"]] == free
+        whole += len(free)
+    assert whole

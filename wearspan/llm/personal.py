@@ -7,6 +7,7 @@ passed back and forth, and patterns of high confidence then discover identifiers
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -17,9 +18,10 @@ from wearspan.llm.frames import saved
 KINDS = ("email", "ip", "card", "phone")
 FOUND = "context"
 # Fixed values of the base scan. `\G` and the look-behind start a match where a run of its first class or the
-# last match ends: the same matches as without them, found without trying every place inside a long run.
+# last match ends: the same matches as without them, found without trying every place inside a long run. Repeated
+# groups are possessive, because Java's engine calls itself for each repetition of a greedy group; nothing follows them.
 PATTERNS = {
-    "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "email": r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)++",
     "ip": r"(?:(?<![0-9])|\G)[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
     "card": r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){11,}+",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
@@ -45,12 +47,37 @@ class BootstrapParams:
     look: int = 48
 
 
-def digits_of(value: Column) -> Column:
-    return F.regexp_replace(value, "[^0-9]", "")
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with the value computed once: a lambda's own expressions are computed again for each of its elements."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def before(values: Column, zero: Column, plus: Callable[[Column, Column], Column], chunk: int = 512) -> Column:
+    """For each element of an array, `plus` over the elements in front of it, from `zero` on.
+
+    Arrays grow by copies, so the elements are taken in chunks: first a total for each chunk, then the places inside.
+    """
+    none = F.slice(F.array(zero), 1, 0)
+
+    def walk(items: Column, start: Column) -> Column:
+        def step(acc: Column, v: Column) -> Column:
+            return F.struct(plus(acc["at"], v).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out"))
+
+        return F.aggregate(items, F.struct(start.alias("at"), none.alias("out")), step, lambda acc: acc["out"])
+
+    def of_parts(parts: Column) -> Column:
+        firsts = walk(F.transform(parts, lambda p: F.aggregate(p, zero, lambda a, b: plus(a, b))), zero)
+        return F.flatten(F.zip_with(parts, firsts, walk))
+
+    def cut(items: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor((F.size(items) - 1) / chunk).cast("int"))
+        return bound(F.transform(numbers, lambda c: F.slice(items, c * chunk + 1, F.lit(chunk))), of_parts)
+
+    return bound(values, lambda items: F.when(F.size(items) > 0, cut(items)).otherwise(none))
 
 
 def luhn(digits: Column) -> Column:
-    """Whether a string of digits passes the check sum."""
+    """Whether a bound string of digits passes the check sum."""
     n = F.length(digits)
 
     def add(total: Column, i: Column) -> Column:
@@ -67,28 +94,50 @@ def passes(kind: str, value: Column) -> Column:
     if kind == "ip":
         parts = F.transform(F.split(value, r"\."), lambda p: F.regexp_replace(p, "^0+(?=.)", ""))
         return F.forall(parts, lambda p: (F.length(p) < 3) | ((F.length(p) == 3) & (p <= "255")))
-    digits = digits_of(value)
+    digits = F.regexp_replace(value, "[^0-9]", "")
     if kind == "card":
-        return F.when(F.length(digits).between(12, 19), luhn(digits)).otherwise(False)
+        return bound(digits, lambda d: F.when(F.length(d).between(12, 19), luhn(d)).otherwise(False))
     return F.length(digits).between(9, 15)
 
 
-def places(text: Column, pattern: str) -> Column:
-    """Array of (start, value) of the matches of a pattern: the text is split at the matches, and the
-    lengths of pieces and matches add up to the starts, in code points."""
-    # Both functions walk the same matches, so piece i lies in front of match i.
-    found = F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
-    pieces = F.split(text, pattern, -1)
-    empty = F.array().cast("array<struct<start:int,value:string>>")
+def places(text: Column, pattern: str, look: int) -> Column:
+    """Array of (start, value, front) of the matches of a pattern, in code points: the text is split at the matches, and the
+    lengths of pieces and matches add up to the starts. The front is the end of the last match and the piece behind it, at
+    most `look` characters; no cue reaches over a whole match."""
+
+    def located(both: Column) -> Column:
+        # Both functions walk the same matches, so piece i lies in front of match i.
+        found, pieces = both["found"], both["pieces"]
+        last = F.concat(F.array(F.lit("")), F.slice(found, 1, F.greatest(F.size(found) - 1, F.lit(0))))
+        fronts = F.zip_with(last, F.slice(pieces, 1, F.size(found)), lambda v, p: F.struct(F.length(p).alias("skip"), F.right(F.concat(v, p), F.lit(look)).alias("front")))
+        return F.zip_with(found, fronts, lambda v, f: F.struct(f["skip"].alias("skip"), F.length(v).alias("length"), v.alias("value"), f["front"].alias("front")))
+
+    def summed(items: Column) -> Column:
+        starts = before(F.transform(items, lambda m: m["skip"] + m["length"]), F.lit(0), lambda a, b: a + b)
+        return F.zip_with(items, starts, lambda m, at: F.struct((at + m["skip"]).alias("start"), m["value"].alias("value"), m["front"].alias("front")))
+
+    both = F.struct(F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1)).alias("found"), F.split(text, pattern, -1).alias("pieces"))
+    none = F.array().cast("array<struct<start:int,value:string,front:string>>")
+    return bound(both, lambda b: F.when(F.size(b["found"]) > 0, bound(located(b), summed)).otherwise(none))
+
+
+def without_overlap(ids: Column, base: Column) -> Column:
+    """The spans of `ids` that touch no span of `base`, by one walk over all spans in order of their starts: the largest end
+    of a base span so far, and from the other side the least start to come."""
+
+    def events(spans: Column, own: bool) -> Column:
+        return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(own).alias("own"), s["end"].alias("end"), s.alias("span")))
 
-    def add(acc: Column, i: Column) -> Column:
-        start = acc["at"] + F.length(F.get(pieces, i))
-        value = F.get(found, i)
-        return F.struct((start + F.length(value)).alias("at"), F.concat(acc["out"], F.array(F.struct(start.alias("start"), value.alias("value")))).alias("out"))
+    def judged(items: Column) -> Column:
+        ends = F.transform(items, lambda e: F.when(e["own"], -1).otherwise(e["end"]))
+        starts = F.reverse(F.transform(items, lambda e: F.when(e["own"], 1 << 30).otherwise(e["start"])))
+        left = bound(ends, lambda v: before(v, F.lit(-1), F.greatest))
+        right = F.reverse(bound(starts, lambda v: before(v, F.lit(1 << 30), F.least)))
+        clear = F.zip_with(left, right, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+        told = F.zip_with(items, clear, lambda e, c: F.struct(e["span"].alias("span"), (e["own"] & (c["a"] <= e["start"]) & (c["b"] >= e["end"])).alias("good")))
+        return F.transform(F.filter(told, lambda t: t["good"]), lambda t: t["span"])
 
-    zero = F.struct(F.lit(0).alias("at"), empty.alias("out"))
-    walked = F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), zero, add, lambda acc: acc["out"])
-    return F.when(F.size(found) > 0, walked).otherwise(empty)
+    return F.when((F.size(ids) == 0) | (F.size(base) == 0), ids).otherwise(bound(F.array_sort(F.concat(events(ids, True), events(base, False))), judged))
 
 
 def spotted(docs: DataFrame, p: BootstrapParams) -> DataFrame:
@@ -98,23 +147,21 @@ def spotted(docs: DataFrame, p: BootstrapParams) -> DataFrame:
     # A character that every match must hold, so that most texts need no scan.
     worth = {"email": F.contains("text", F.lit("@")), "phone": F.contains("text", F.lit("+")), "ip": F.col("digits"), "card": F.col("digits"), "id": F.col("digits")}
     slim = slim.withColumn("digits", F.col("text").rlike("[0-9]"))
-    nothing = F.array().cast("array<struct<start:int,value:string>>")
+    nothing = F.array().cast("array<struct<start:int,value:string,front:string>>")
     for kind, pattern in {**PATTERNS, "id": IDENTIFIER}.items():
-        slim = slim.withColumn(f"at_{kind}", F.when(worth[kind], places(F.col("text"), pattern)).otherwise(nothing))
+        slim = slim.withColumn(f"at_{kind}", F.when(worth[kind], places(F.col("text"), pattern, p.look)).otherwise(nothing))
 
     def span(kind: str) -> Column:
         def one(m: Column) -> Column:
             start, value = m["start"], m["value"]
-            front = F.substring(F.col("text"), F.greatest(start - p.look, F.lit(0)) + 1, F.least(start, F.lit(p.look)))
-            return F.struct(start.alias("start"), (start + F.length(value)).alias("end"), F.lit(kind).alias("kind"), value.alias("value"), front.alias("front"))
+            return F.struct(start.alias("start"), (start + F.length(value)).alias("end"), F.lit(kind).alias("kind"), value.alias("value"), m["front"].alias("front"))
 
         good = F.filter(F.col(f"at_{kind}"), lambda m: passes(kind, m["value"])) if kind in KINDS else F.col(f"at_{kind}")
         return F.transform(good, one)
 
     base = F.concat(*[span(k) for k in KINDS])
     slim = slim.select("doc_id", F.monotonically_increasing_id().alias("row"), base.alias("base"), span("id").alias("ids"))
-    free = F.filter("ids", lambda c: ~F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])))
-    return slim.select("doc_id", "row", "base", free.alias("ids"))
+    return slim.select("doc_id", "row", "base", without_overlap(F.col("ids"), F.col("base")).alias("ids"))
 
 
 def cues(front: Column) -> Column:

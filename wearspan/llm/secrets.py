@@ -7,6 +7,8 @@ literal is scored by how sensitive the name is that finally receives it.
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import math
 import re
 from collections import Counter
@@ -158,41 +160,44 @@ def pairs(text: str) -> Iterator[Pair]:
 
 
 def scored_literals(text: str) -> list[tuple[int, int, float]]:
-    """(start, end, score) of literals that reach a sensitive name directly or through constants."""
-    known: dict[str, list[Literal]] = {}
-    best: dict[tuple[int, int], float] = {}
-    waiting: list[tuple[str, str]] = []
-
-    def give(weight: float, values: list[Literal]) -> None:
-        for start, end, value in values:
-            score = weight * literal_quality(value)
-            if score > best.get((start, end), 0.0):
-                best[start, end] = score
+    """(start, end, score) of literals that reach a sensitive name directly or through constants.
 
+    Each assignment is a node that holds its literals and refers to the assignments of the names it uses: the last one before
+    it and the last one of the text. The nodes of sensitive names are walked once, the most sensitive first, so a node's
+    first visit gives its literals their best weight, and sums that refer to themselves cost no more than their length.
+    """
+    nodes: list[tuple[list[Literal], list[int], list[str]]] = []
+    latest: dict[str, int] = {}
+    starts: list[tuple[float, int]] = []
     for name, literals, names in pairs(text):
-        values = list(literals)
+        own, before, others = list(literals), [], []
         for start, end, other in names:
-            if other in known:
-                values += known[other]
+            if other in latest:
+                before.append(latest[other])
             elif re.search("[0-9]", other) and not literals:  # an unquoted word with digits is its own literal
-                values.append((start, end, other))
-            waiting.append((name, other))
-        known[name] = values
-        give(sensitivity(name), values)
-    # Constants that are defined after their use, through all names they reach; the most sensitive name goes first.
-    sources: dict[str, list[str]] = {}
-    for name, other in waiting:
-        sources.setdefault(name, []).append(other)
-    weights = {name: w for name in sources if (w := sensitivity(name))}
-    seen: set[str] = set()
-    for name in sorted(weights, key=weights.__getitem__, reverse=True):
-        ahead = [name]
+                own.append((start, end, other))
+            others.append(other)
+        weight = sensitivity(name)
+        if weight:
+            starts.append((weight, len(nodes)))
+        latest[name] = len(nodes)
+        nodes.append((own, before, others))
+    best: dict[tuple[int, int], float] = {}
+    seen: set[int] = set()
+    for weight, node in sorted(starts, key=lambda s: -s[0]):
+        ahead = [node]
         while ahead:
-            for other in sources.get(ahead.pop(), ()):
-                if other not in seen:
-                    seen.add(other)
-                    give(weights[name], known.get(other, []))
-                    ahead.append(other)
+            at = ahead.pop()
+            if at in seen:
+                continue
+            seen.add(at)
+            own, before, others = nodes[at]
+            for start, end, value in own:
+                score = weight * literal_quality(value)
+                if score > best.get((start, end), 0.0):
+                    best[start, end] = score
+            ahead += before
+            ahead += [latest[o] for o in others if o in latest]
     return [(s, e, v) for (s, e), v in best.items()]
 
 
@@ -203,8 +208,12 @@ def secret_spans(text: str, least_score: float = 0.5) -> list[tuple[int, int, st
     found = [(s, e, k, 1.0) for s, e, k in base]
     lower = text.lower()
     if ("=" in text or ":" in text or "</" in text) and any(h in lower for h in HINTS):
+        ordered = sorted((s, e) for s, e, _ in base)
+        starts = [s for s, _ in ordered]
+        ends = list(itertools.accumulate((e for _, e in ordered), max))  # the furthest end of the spans up to each
         for start, end, score in scored_literals(text):
-            if score >= least_score and not any(s < end and start < e for s, e, _ in base):
+            i = bisect.bisect_left(starts, end)  # the base spans that start before the literal ends
+            if score >= least_score and not (i and ends[i - 1] > start):
                 found.append((start, end, "literal", score))
     return sorted(found, key=lambda f: (f[0], KINDS.index(f[2]), f[1]))
 
