@@ -10,9 +10,9 @@ from wearspan.operators.blocks import (
     BlockPlan,
     SplitPolicy,
     drop_block_columns,
-    plan_blocks,
     route,
 )
+from wearspan.operators.ranked import LongSeries, find_long_series, same_entity
 from wearspan.schemas import (
     ALERT,
     ALERT_AT_RUL,
@@ -47,21 +47,37 @@ def last_cycles(df: DataFrame) -> DataFrame:
     return df.groupBy(ENTITY).agg(F.max(CYCLE).alias("max_cycle"))
 
 
+# Shares into which the rows of one long engine are dealt while the others look for their last cycle.
+SALTS = 4_096
+
+
 def label_telemetry(
-    df: DataFrame, policy: SplitPolicy | None = None, plan: BlockPlan | None = None
+    df: DataFrame,
+    policy: SplitPolicy | None = None,
+    plan: BlockPlan | None = None,
+    long: LongSeries | None = None,
 ) -> DataFrame:
     """Add `RUL` and `failure_type`.
 
-    The last cycle reaches the rows without a join: a window over (engine, block) for an ordinary
-    engine, whose rows are all in one block, and the block plan's own maximum for a long one.
+    The last cycle of an ordinary engine is a window over its rows. A long engine's is known from the size check (`long`, made
+    here if it is not given) or the block plan, and its rows are spread evenly, whatever their cycles are.
     """
-    plan = plan or plan_blocks(df, ENTITY, CYCLE, policy=policy)
-    routed = route(df, plan)
-    last = F.coalesce(LAST_KEY, F.max(CYCLE).over(Window.partitionBy(*plan.partition_keys)))
+    if plan is not None:
+        routed, keys, last = route(df, plan), plan.partition_keys, F.col(LAST_KEY)
+    else:
+        long = long or find_long_series(df, ENTITY, CYCLE, policy)
+        if long.table is None:
+            routed, keys, last = df, [ENTITY], None
+        else:
+            known = df.join(long.hinted.select("_e", F.col("_last").alias(LAST_KEY), F.lit(True).alias("_long")), same_entity(ENTITY), "left").drop("_e")
+            share = F.when(F.col("_long"), F.monotonically_increasing_id() % SALTS).otherwise(0)
+            routed, keys, last = known.withColumn("_salt", share).drop("_long"), [ENTITY, "_salt"], F.col(LAST_KEY)
+    found = F.max(CYCLE).over(Window.partitionBy(*keys))
+    last = found if last is None else F.coalesce(last, found)
     labeled = routed.withColumn("RUL", (last - F.col(CYCLE)).cast("long")).withColumn(
         LABEL, health_class(F.col("RUL"))
     )
-    return drop_block_columns(labeled)
+    return drop_block_columns(labeled).drop("_salt")
 
 
 def drop_duplicate_rows(df: DataFrame) -> DataFrame:

@@ -10,9 +10,9 @@ from wearspan.operators.blocks import (
     BlockPlan,
     SplitPolicy,
     drop_block_columns,
-    plan_blocks,
     route,
 )
+from wearspan.operators.ranked import RANK, split_by_rank
 from wearspan.session import scratch_path
 
 # Hex digits of a digest used as a bucket: 4,096 buckets per stratum.
@@ -27,14 +27,20 @@ def series_ordinal(
     policy: SplitPolicy | None = None,
     plan: BlockPlan | None = None,
 ) -> DataFrame:
-    """1-based position of each row in its series: rank inside a block plus the block's offset."""
-    plan = plan or plan_blocks(df, entity, order_by[0], policy=policy)
-    routed = route(df, plan)
-    inside = Window.partitionBy(*plan.partition_keys).orderBy(*order_by)
+    """1-based position of each row in its series: rank inside a block plus the block's offset.
+
+    Long series are cut by rank; with a `plan` along its keys.
+    """
+    if plan is None:
+        split = split_by_rank(df, entity, order_by, policy=policy)
+        routed, keys, order = split.rows, split.keys, split.order
+    else:
+        routed, keys, order = route(df, plan), plan.partition_keys, order_by
+    inside = Window.partitionBy(*keys).orderBy(*order)
     numbered = routed.withColumn(
         name, (F.row_number().over(inside) + F.col(OFFSET)).cast("long")
     )
-    return drop_block_columns(numbered)
+    return drop_block_columns(numbered).drop(RANK)
 
 
 def series_bounds(

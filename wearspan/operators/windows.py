@@ -14,11 +14,11 @@ from wearspan.operators.blocks import (
     OFFSET,
     BlockPlan,
     SplitPolicy,
-    plan_blocks,
     route,
 )
 from wearspan.operators.labeling import feature_columns
 from wearspan.operators.ordinals import running_offsets
+from wearspan.operators.ranked import find_long_series, split_by_rank
 from wearspan.schemas import CYCLE, ENTITY, LABEL
 from wearspan.session import attach, written
 
@@ -37,13 +37,19 @@ def sliding_windows(
 ) -> DataFrame:
     """One row per full window of `window` consecutive rows of an engine, stride 1.
 
+    Long engines are cut by rank, so `df` is then read twice; with a `plan` they are cut along its keys.
+
     Columns: `engine_id`, `end_cycle`, `readings` (array of float32 arrays, oldest row first) and
     `failure_type` of the last row. Engines shorter than the window give nothing.
     """
     features = features or feature_columns(df)
-    plan = plan or plan_blocks(df, ENTITY, CYCLE, halo=window - 1, policy=policy)
-    routed = route(df.select(ENTITY, CYCLE, LABEL, *features), plan, with_halo=True)
-    spec = Window.partitionBy(*plan.partition_keys).orderBy(*order_columns(features))
+    rows = df.select(ENTITY, CYCLE, LABEL, *features)
+    if plan is None:
+        split = split_by_rank(rows, ENTITY, order_columns(features), window - 1, policy)
+        routed, keys, order = split.rows, split.keys, split.order
+    else:
+        routed, keys, order = route(rows, plan, with_halo=True), plan.partition_keys, order_columns(features)
+    spec = Window.partitionBy(*keys).orderBy(*order)
     frame = spec.rowsBetween(1 - window, Window.currentRow)
     # A frame is full from the row with that number on; nothing then needs the readings but who reads them.
     framed = routed.withColumn("_row", F.row_number().over(spec)).withColumn(
@@ -86,7 +92,7 @@ def indexed_windows(
     (0-based over engines in lexical order).
 
     `clean` is scanned more than once (block plan, engine sizes, rows), so it should be a written
-    table. The rows are shuffled once.
+    table. The rows are shuffled once; those of long engines once more, to be ranked.
     """
     features = features or feature_columns(clean)
     columns = [ENTITY, CYCLE, LABEL, *features]
@@ -95,14 +101,14 @@ def indexed_windows(
     starts = running_offsets(counts, ENTITY, "windows").select(
         ENTITY, F.col("offset").alias("_start")
     )
-    plan = plan_blocks(rows, ENTITY, CYCLE, halo=window - 1, policy=policy)
+    long = find_long_series(rows, ENTITY, CYCLE, policy)
     # Joined to the rows, not to the windows, which are `window` times as wide.
-    routed = route(attach(rows, starts, ENTITY), plan, with_halo=True)
+    split = split_by_rank(attach(rows, starts, ENTITY), ENTITY, order_columns(features), window - 1, long=long)
     # Windows are `window` times larger than their rows, which adaptive coalescing cannot see: an
     # explicit partition count keeps the configured parallelism. It is the only shuffle of the rows.
     partitions = int(clean.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    routed = routed.repartition(partitions, *plan.partition_keys)
-    spec = Window.partitionBy(*plan.partition_keys).orderBy(*order_columns(features))
+    routed = split.rows.repartition(partitions, *split.keys)
+    spec = Window.partitionBy(*split.keys).orderBy(*split.order)
     frame = spec.rowsBetween(1 - window, Window.currentRow)
     # Halo rows precede the block's own rows, so the running count of own rows is the position.
     position = F.sum((~F.col(HALO)).cast("long")).over(spec.rowsBetween(Window.unboundedPreceding, 0)) + F.col(OFFSET)

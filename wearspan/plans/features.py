@@ -8,7 +8,7 @@ from datetime import UTC, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wearspan.operators.blocks import SplitPolicy, plan_blocks
+from wearspan.operators.blocks import SplitPolicy
 from wearspan.operators.contracts import LABELED_TELEMETRY, RAW_TELEMETRY, Contract, check
 from wearspan.operators.labeling import (
     drop_duplicate_rows,
@@ -16,6 +16,7 @@ from wearspan.operators.labeling import (
     feature_columns,
     label_telemetry,
 )
+from wearspan.operators.ranked import find_long_series
 from wearspan.operators.sampling import select_engines
 from wearspan.operators.windows import indexed_windows, require_windows, stamped_windows
 from wearspan.params import JobParams
@@ -55,11 +56,11 @@ def clean_rows(
     if params.max_engines and params.max_engines > 0:
         accepted, raw_watch = checked.enforce(), None
         accepted = select_engines(accepted, params.max_engines, params.seed)
-        plan = plan_blocks(accepted, ENTITY, CYCLE, policy=policy)
+        long = find_long_series(accepted, ENTITY, CYCLE, policy)
     else:
-        plan = plan_blocks(checked.rows, ENTITY, CYCLE, policy=policy)
+        long = find_long_series(checked.rows, ENTITY, CYCLE, policy)
         accepted, raw_watch = checked.observed()
-    labeled = check(label_telemetry(accepted.drop("token_count"), plan=plan), LABELED_TELEMETRY)
+    labeled = check(label_telemetry(accepted.drop("token_count"), long=long), LABELED_TELEMETRY)
     rows, watch = labeled.observed()
     deduplicated = written(drop_duplicate_rows(rows), "clean")
     if raw_watch is not None:

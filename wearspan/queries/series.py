@@ -30,7 +30,7 @@ AS_OF = datetime(2024, 6, 1)
 
 
 def windows_of_30(spark, sf_dir):
-    rows, plan = labeled_series(spark, sf_dir, halo=29)
+    rows, plan = labeled_series(spark, sf_dir)
     return sliding_windows(rows, 30, VARYING, plan=plan)
 
 

@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wearspan.functions.times import epoch_micros
-from wearspan.operators.blocks import BlockPlan, SplitPolicy, order_key, plan_blocks
+from wearspan.operators.blocks import BlockPlan, SplitPolicy, order_key
 from wearspan.operators.labeling import label_telemetry
 from wearspan.operators.ordinals import series_ordinal
+from wearspan.operators.ranked import find_long_series
 from wearspan.schemas import CYCLE, ENTITY
 
 # Every column takes part, because (orderkey, linenumber) repeats.
@@ -35,10 +36,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def line_plan(spark: SparkSession, sf_dir: str, policy: SplitPolicy | None = None) -> BlockPlan:
-    return plan_blocks(
-        table(spark, sf_dir, "lineitem"), "l_suppkey", LINE_ORDER[0], policy=policy
-    )
+def line_plan(spark: SparkSession, sf_dir: str, policy: SplitPolicy | None = None) -> BlockPlan | None:
+    """A plan with nothing to cut, or None when some supplier is long and series are to be cut by rank."""
+    lines = table(spark, sf_dir, "lineitem")
+    long = find_long_series(lines, "l_suppkey", LINE_ORDER[0], policy)
+    return BlockPlan("l_suppkey", order_key(lines, LINE_ORDER[0])) if long.table is None else None
 
 
 def numbered_lines(spark: SparkSession, sf_dir: str, plan: BlockPlan | None = None) -> DataFrame:
@@ -78,20 +80,18 @@ def labeled_series(
     spark: SparkSession,
     sf_dir: str,
     keep: tuple[str, ...] = (),
-    halo: int = 0,
     policy: SplitPolicy | None = None,
-) -> tuple[DataFrame, BlockPlan]:
-    """Labeled telemetry and the block plan of its engines.
+) -> tuple[DataFrame, BlockPlan | None]:
+    """Labeled telemetry and the block plan of its engines, None when they are to be cut by rank.
 
     A supplier is an engine, so the size check of the line items also answers for the engines: only
     when some supplier is long are the engines' own cycles cut.
     """
     lines = line_plan(spark, sf_dir, policy)
     rows = telemetry(spark, sf_dir, keep, lines)
-    if lines.long_series is None:
-        plan = BlockPlan(ENTITY, order_key(rows, CYCLE))
-    else:
-        plan = plan_blocks(rows, ENTITY, CYCLE, halo=halo, policy=policy)
+    if lines is None:
+        return label_telemetry(rows, policy), None
+    plan = BlockPlan(ENTITY, order_key(rows, CYCLE))
     return label_telemetry(rows, plan=plan), plan
 
 
