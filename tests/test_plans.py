@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from helpers import CLEAN, uneven_series
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from wearspan.operators.blocks import SplitPolicy, plan_blocks
 from wearspan.operators.labeling import label_telemetry
+from wearspan.operators.scaling import moments_by_weight, weighted_rows
 from wearspan.operators.windows import sliding_windows
 from wearspan.sources.bindings import labeled_series, table
 
@@ -55,10 +55,12 @@ def test_filters_and_columns_reach_the_scan(spark, small_dir):
     assert "ReadSchema: struct<l_suppkey:bigint,l_discount:double>" in text
 
 
-def test_scaler_edges_are_limited_before_the_shuffle(spark, small_dir):
-    rows = table(spark, small_dir, "lineitem")
-    spec = Window.partitionBy("l_suppkey").orderBy("l_shipdate", "l_quantity")
-    edges = rows.withColumn("i", F.row_number().over(spec)).filter("i < 30")
-    text = physical(edges)
-    assert text.count("WindowGroupLimit") == 2
-    assert text.index("WindowGroupLimit") < text.index("Exchange") < text.rindex("WindowGroupLimit")
+def test_scaler_reads_and_shuffles_the_rows_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame(uneven_series(), CLEAN).write.parquet(path)
+    features = ["sensor_1", "sensor_2"]
+    text = physical(moments_by_weight(weighted_rows(spark.read.parquet(path), features, 30), features))
+    assert text.count("FileScan") == 1
+    assert "Exchange hashpartitioning(global_unit" in text and "Exchange hashpartitioning(_weight" in text
+    assert hash_exchanges(text) == 2 and text.count("Sort [") == 1
+    assert text.index("partial_avg") > text.index("Exchange hashpartitioning(_weight")

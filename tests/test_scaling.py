@@ -5,6 +5,7 @@ import pytest
 from helpers import CLEAN, brute_windows, uneven_series
 from pyspark.sql import functions as F
 
+from wearspan.operators.blocks import SplitPolicy
 from wearspan.operators.scaling import (
     ScalerState,
     fit_scaler,
@@ -38,6 +39,17 @@ def test_closed_form_equals_exploded_windows(spark, window):
     assert {r["n"] for r in state} == {n}
 
 
+@pytest.mark.parametrize("window", [2, 30])
+def test_cut_series_give_the_same_state(spark, window):
+    rows = uneven_series()
+    df = spark.createDataFrame(rows, CLEAN).repartition(4)
+    state = fit_scaler(df, FEATURES, window, policy=SplitPolicy(rows_per_block=35)).collect()
+    mean, std, n = exploded(rows, window)
+    np.testing.assert_allclose([r["mean"] for r in state], mean, rtol=1e-12)
+    np.testing.assert_allclose([r["std"] for r in state], std, rtol=1e-10)
+    assert {r["n"] for r in state} == {n}
+
+
 def test_large_means_keep_their_spread(spark):
     rows = [(1, c, "x", 1e6 + (c % 7), 1.0, 0) for c in range(1, 200)]
     state = fit_scaler(spark.createDataFrame(rows, CLEAN), FEATURES, 30).collect()

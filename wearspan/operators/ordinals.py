@@ -12,7 +12,7 @@ from wearspan.operators.blocks import (
     drop_block_columns,
     route,
 )
-from wearspan.operators.ranked import RANK, split_by_rank
+from wearspan.operators.ranked import RANK, SIZE, split_by_rank
 from wearspan.session import scratch_path
 
 # Hex digits of a digest used as a bucket: 4,096 buckets per stratum.
@@ -40,7 +40,7 @@ def series_ordinal(
     numbered = routed.withColumn(
         name, (F.row_number().over(inside) + F.col(OFFSET)).cast("long")
     )
-    return drop_block_columns(numbered).drop(RANK)
+    return drop_block_columns(numbered).drop(RANK, SIZE)
 
 
 def series_bounds(

@@ -21,6 +21,7 @@ from wearspan.operators.blocks import BLOCK, HALO, OFFSET, SplitPolicy
 from wearspan.session import BROADCAST_ROWS, written
 
 RANK = "_rank"
+SIZE = "_n"
 RANGES_PER_BLOCK = 2
 
 
@@ -39,17 +40,19 @@ class LongSeries:
 
 
 def find_long_series(df: DataFrame, entity: str, order: str, policy: SplitPolicy | None = None) -> LongSeries:
-    """Check the sizes of the series with one aggregate over the entity and the leading order column.
+    """Check the sizes of the series with one aggregate over the entity column alone; the order column is only read when some
+    series is long.
 
     The limit is fixed and does not grow with the table. A NULL entity is a series like any other.
     """
     policy = policy or SplitPolicy.of(df.sparkSession)
-    sizes = df.groupBy(F.col(entity).alias("_e")).agg(F.count(F.lit(1)).alias("_n"), F.max(order).alias("_last"))
-    hot = sizes.filter(F.col("_n") > policy.rows_per_block)
-    longest = sizes.agg(F.max("_n"), F.sum(F.when(F.col("_n") > policy.rows_per_block, F.col("_n")))).first()
-    if longest[1] is None:
+    long = F.col("_n") > policy.rows_per_block
+    series = df.groupBy(F.col(entity).alias("_e"))
+    rows = series.agg(F.count(F.lit(1)).alias("_n")).agg(F.sum(F.when(long, F.col("_n")))).first()[0]
+    if rows is None:
         return LongSeries(None)
-    return LongSeries(written(hot, "long-series"), longest[1], policy.rows_per_block)
+    ends = series.agg(F.count(F.lit(1)).alias("_n"), F.max(order).alias("_last"))
+    return LongSeries(written(ends.filter(long), "long-series"), rows, policy.rows_per_block)
 
 
 def same_entity(entity: str) -> Column:
@@ -80,8 +83,8 @@ def ranked_rows(df: DataFrame, entity: str, order_by: list[str], long: LongSerie
 
 @dataclass(frozen=True)
 class SplitRows:
-    """Rows with `_block`, `_halo`, `_offset` (the series' rows before the block) and `_rank` (NULL in series that were
-    not cut), and the keys and order that their windows take."""
+    """Rows with `_block`, `_halo`, `_offset` (the series' rows before the block), `_rank` and `_n` (the series' rows; both
+    NULL in series that were not cut), and the keys and order that their windows take."""
 
     rows: DataFrame
     keys: list[str]
@@ -103,7 +106,7 @@ def split_by_rank(
     """
     long = long or find_long_series(df, entity, order_by[0], policy)
     if long.table is None:
-        plain = df.withColumn(OFFSET, F.lit(0).cast("long")).withColumn(HALO, F.lit(False)).withColumn(RANK, F.lit(None).cast("long"))
+        plain = df.withColumn(OFFSET, F.lit(0).cast("long")).withColumn(HALO, F.lit(False)).withColumns({c: F.lit(None).cast("long") for c in (RANK, SIZE)})
         return SplitRows(plain, [entity], order_by)
     limit = F.lit(long.limit).cast("long")
     ranked = ranked_rows(df, entity, order_by, long)
@@ -112,6 +115,7 @@ def split_by_rank(
     hot = ranked.withColumn("_home", home).withColumn(BLOCK, F.explode(F.sequence("_home", furthest)))
     hot = hot.withColumn(HALO, F.col(BLOCK) != F.col("_home")).withColumn(OFFSET, F.col(BLOCK) * limit)
     rest = df.join(long.hinted.select("_e"), same_entity(entity), "left_anti")
-    rest = rest.withColumn(BLOCK, F.lit(0).cast("long")).withColumn(HALO, F.lit(False)).withColumn(OFFSET, F.lit(0).cast("long")).withColumn(RANK, F.lit(None).cast("long"))
-    columns = [*df.columns, BLOCK, HALO, OFFSET, RANK]
+    rest = rest.withColumn(BLOCK, F.lit(0).cast("long")).withColumn(HALO, F.lit(False)).withColumn(OFFSET, F.lit(0).cast("long"))
+    rest = rest.withColumns({c: F.lit(None).cast("long") for c in (RANK, SIZE)})
+    columns = [*df.columns, BLOCK, HALO, OFFSET, RANK, SIZE]
     return SplitRows(rest.select(*columns).unionByName(hot.select(*columns)), [entity, BLOCK], [RANK, *order_by])

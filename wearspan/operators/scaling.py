@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wearspan.functions.scores import standardise
+from wearspan.operators.blocks import OFFSET, SplitPolicy
+from wearspan.operators.ranked import SIZE, split_by_rank
 from wearspan.schemas import CYCLE, ENTITY
-from wearspan.session import written
+from wearspan.session import BROADCAST_ROWS, written
 
 
 def window_weight(position: Column, rows: Column, window: int) -> Column:
@@ -18,77 +21,68 @@ def window_weight(position: Column, rows: Column, window: int) -> Column:
     return F.when(rows >= window, weight).otherwise(F.lit(0))
 
 
+WEIGHT = "_weight"
+
+
+def weighted_rows(rows: DataFrame, features: list[str], window: int, policy: SplitPolicy | None = None) -> DataFrame:
+    """The entity, the features as float32 values in doubles, and `_weight`, the windows that contain the row.
+
+    Place and size of a series come from one window over it, which shares the shuffle of whatever else is keyed by the
+    entity; a series above the block limit is cut by rank and brings both along.
+    """
+    order = [CYCLE, *features]
+    narrow = rows.select(ENTITY, CYCLE, *[F.col(c).cast("float").cast("double").alias(c) for c in features])
+    split = split_by_rank(narrow, ENTITY, order, policy=policy)
+    series = Window.partitionBy(*split.keys)
+    place = F.row_number().over(series.orderBy(*split.order)) + F.col(OFFSET) - 1
+    size = F.coalesce(F.col(SIZE), F.count(F.lit(1)).over(series))
+    placed = split.rows.withColumn("_place", place)  # first, so that the count finds its rows sorted
+    return placed.select(ENTITY, *features, window_weight(F.col("_place"), size, window).alias(WEIGHT))
+
+
+def moments_by_weight(weighted: DataFrame, features: list[str]) -> DataFrame:
+    """Count, means and variances of the rows of each weight: at most `window` groups, merged from partial states map-side.
+
+    Equal weights make the plain central moments, which Spark merges without cancellation, those of a weighted set.
+    """
+    return weighted.filter(F.col(WEIGHT) > 0).groupBy(WEIGHT).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        *[F.avg(c).alias(f"_m_{c}") for c in features],
+        *[F.var_pop(c).alias(f"_v_{c}") for c in features],
+    )
+
+
 def fit_scaler(
     rows: DataFrame,
     features: list[str],
     window: int,
     engines: DataFrame | None = None,
+    policy: SplitPolicy | None = None,
 ) -> DataFrame:
-    """(position, feature, mean, std, n): moments over all rows of all windows.
+    """(position, feature, mean, std, n): moments over all rows of all windows, in one pass over the rows.
 
-    A row counts once per window that contains it. That weight is `window`, less `window - 1 - i`
-    for the i-th row from the start and the same from the end. So the moments are per-engine
-    aggregates (combined map-side) minus corrections from the first and last `window - 1` rows of
-    each engine, which a per-group limit keeps before the shuffle. Nothing is exploded, no series
-    is collected, and `engines` (the training engines) is joined to engine-level tables only.
+    A row counts once per window that contains it. Rows are grouped by that number, and the groups' moments, at most
+    `window` of them, are put together here. Nothing is exploded and no series is collected. `engines` (the
+    training engines) is counted and broadcast up to a bound; above it the join uses the partitioning that the rows already have.
 
-    Values are narrowed to float32 first. The std is the population one. The engine-level tables
-    are written once, since the mean is needed before the squared deviations.
+    Values are narrowed to float32 first. The std is the population one.
     """
-    narrow = rows.select(
-        ENTITY,
-        F.col(CYCLE).alias("_cycle"),
-        *[F.col(c).cast("float").cast("double").alias(c) for c in features],
-    )
-    moments = narrow.groupBy(ENTITY).agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.avg(c).alias(f"_m_{c}") for c in features],
-        *[F.var_pop(c).alias(f"_v_{c}") for c in features],
-    )
-    moments = moments.filter(F.col("_n") >= window)
+    weighted = weighted_rows(rows, features, window, policy)
     if engines is not None:
-        moments = moments.join(engines.select(ENTITY).distinct(), ENTITY, "left_semi")
-    moments = written(moments, "moments")
-    order = [F.col("_cycle"), *[F.col(c) for c in features]]
-    edges = None
-    for direction in (order, [c.desc() for c in order]):
-        ranked = (
-            narrow.withColumn(
-                "_i", F.row_number().over(Window.partitionBy(ENTITY).orderBy(*direction))
-            )
-            .filter(F.col("_i") < window)
-            .withColumn("_less", F.lit(window) - F.col("_i"))
-        )
-        edges = ranked if edges is None else edges.unionByName(ranked)
-    edges = written(
-        edges.join(moments.select(ENTITY), ENTITY, "left_semi").select("_less", *features), "edges"
-    )
-    totals = moments.agg(
-        F.sum(F.lit(window) * (F.col("_n") - window + 1)).alias("_weight"),
-        *[F.sum(window * F.col("_n") * F.col(f"_m_{c}")).alias(c) for c in features],
-    ).first()
-    weight = totals["_weight"]
-    if weight is None:
+        wanted = written(engines.select(ENTITY).distinct(), "scaled-engines")
+        if wanted.count() <= BROADCAST_ROWS:
+            wanted = F.broadcast(wanted)
+        weighted = weighted.join(wanted, ENTITY, "left_semi")
+    groups = moments_by_weight(weighted, features).collect()  # one row per weight, `window` at most
+    total = sum(g[WEIGHT] * g["_rows"] for g in groups)
+    if not total:
         raise ValueError(f"no training engine has at least {window} cycles")
-    edge_sums = edges.agg(*[F.sum(F.col("_less") * F.col(c)).alias(c) for c in features]).first()
-    mean = {c: (totals[c] - (edge_sums[c] or 0.0)) / weight for c in features}
-
-    def squared(column: str, c: str) -> Column:
-        return F.pow(F.col(column) - F.lit(mean[c]), F.lit(2))
-
-    spread = moments.agg(
-        *[
-            F.sum(window * F.col("_n") * (F.col(f"_v_{c}") + squared(f"_m_{c}", c))).alias(c)
-            for c in features
-        ]
-    ).first()
-    edge_spread = edges.agg(
-        *[F.sum(F.col("_less") * squared(c, c)).alias(c) for c in features]
-    ).first()
     state = []
     for position, c in enumerate(features):
-        variance = max(0.0, (spread[c] - (edge_spread[c] or 0.0)) / weight)
-        state.append((position, c, mean[c], variance**0.5, weight))
+        shares = [(g[WEIGHT] * g["_rows"] / total, g[f"_m_{c}"], g[f"_v_{c}"]) for g in groups]
+        mean = math.fsum(s * m for s, m, _ in shares)
+        variance = math.fsum(s * (v + (m - mean) ** 2) for s, m, v in shares)
+        state.append((position, c, mean, variance**0.5, total))
     return rows.sparkSession.createDataFrame(
         state, "position int, feature string, mean double, std double, n long"
     )
