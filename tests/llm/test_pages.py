@@ -1,5 +1,9 @@
 from __future__ import annotations
 
+import time
+
+import pytest
+
 from wearspan.llm import pages
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="<p>no</p>";</script></head><body>
@@ -57,3 +61,28 @@ def test_excluded_parts_neither_win_nor_cut(spark):
     assert learned.of("w:p") > 0 > learned.of("w:li+a")
     assert pages.main_text(behind, learned) == one.strip()
     assert pages.main_text(split, learned) == f"{one.strip()}\n\n{two.strip()}"
+
+
+@pytest.mark.parametrize("name", ["content no-sidebar", "page has-sidebar", "layout with-nav", "post category-social", "entry tag-ads", "story header-large"])
+def test_listed_words_in_longer_names_lose_no_article(name):
+    body = "".join(f"<p>{'many words of the article ' * 8}</p>" for _ in range(4))
+    page = f"<nav><a href=x>Menu</a></nav><div class='{name}'><h1>Head</h1>{body}<div class='ad'>buy this</div><section class='comments'><p>reader says</p></section></div>"
+    text = pages.main_text(page, pages.PageWeights({}))
+    assert text.count("many words") == 32 and "buy" not in text and "reader" not in text
+
+
+def test_listed_parts_of_names_are_learned(spark):
+    article = f"<article><p>{'first words ' * 30}</p></article>"
+    rows = [(i, "u", f"{article}<div class='share-box'><p>{'tell your friends ' * 8}</p></div>") for i in range(9)]
+    learned = pages.fit_weights(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert learned.of("w:p") > 0 > learned.of("w:p+n")
+    bare = f"<div><p>{'first words ' * 30}</p></div><div class='share-box'><p>{'tell your friends ' * 8}</p></div>"
+    assert pages.main_text(bare, learned) == ("first words " * 30).strip()
+    assert pages.PageWeights({}).of("w:p+n") == pages.PageWeights({}).of("w:p")
+
+
+def test_deep_pages_take_time_in_proportion():
+    began = time.monotonic()
+    assert pages.main_text("<div><i>x " * 100_000, pages.PageWeights({}, tag=-0.1)).startswith("x")
+    pages.main_text("<b>y" * 50_000 + "</u>" * 50_000 + "<p>" * 50_000, pages.PageWeights({}))
+    assert time.monotonic() - began < 30

@@ -59,34 +59,54 @@ class Token:
 
 
 def never_content(tag: str, rest: str) -> bool:
+    """Whether a tag or one whole name of its class, id or role says so. A listed word inside of a longer name, as in
+    `no-sidebar`, decides nothing; see `named`."""
     if tag in NEVER:
         return True
     if tag in ("html", "body", "article", "main") or not rest:
         return False
-    return any(w in NEVER_NAMES for m in NAMES.finditer(rest) for w in re.split(r"[^a-z]+", (m[1] or m[2] or m[3] or "").lower()))
+    return any(w in NEVER_NAMES for m in NAMES.finditer(rest) for w in (m[1] or m[2] or m[3] or "").lower().split())
+
+
+def named(rest: str) -> bool:
+    """Whether a listed word is part of a longer name: a feature of the words inside, with a learned weight."""
+    found = (m[1] or m[2] or m[3] or "" for m in NAMES.finditer(rest))
+    return any(w in NEVER_NAMES for f in found for name in f.lower().split() if name not in NEVER_NAMES for w in re.split(r"[^a-z]+", name))
+
+
+@dataclass(frozen=True)
+class Open:
+    """An open element, with what its words need to know of the elements around it."""
+
+    tag: str
+    never: bool
+    marked: bool
+    around: str
+    named: bool
 
 
 def tokens(page: str, markers: frozenset[str] = frozenset(("article", "main"))) -> list[Token]:
     """Words and tags of a page in order. Unclosed and misnested elements are closed where HTML implies it."""
     out: list[Token] = []
-    stack: list[tuple[str, bool, bool]] = [("", False, False)]  # tag, never content, marked
+    stack = [Open("", False, False, "", False)]
+    count: Counter[str] = Counter()  # open elements by tag, so that nothing looks through the stack
     block, at = 0, 0
 
     def words(raw: str) -> None:
         text = html.unescape(raw) if "&" in raw else raw
         n = len(text.split())
-        _, never, marked = stack[-1]
+        top = stack[-1]
         if n:
-            around = next((t for t, _, _ in reversed(stack) if t in BLOCKS), "")
-            linked = any(t == "a" for t, _, _ in stack)
-            out.append(Token(f"w:{around}{'+a' if linked else ''}", n, text, block, never, marked))
+            kind = f"w:{top.around}{'+a' if count['a'] else ''}{'+n' if top.named else ''}"
+            out.append(Token(kind, n, text, block, top.never, top.marked))
         elif text:
-            out.append(Token("", 0, " ", block, never, marked))
+            out.append(Token("", 0, " ", block, top.never, top.marked))
 
     def close(tag: str) -> None:
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i][0] == tag:
-                del stack[i:]
+        while count[tag]:
+            closed = stack.pop().tag
+            count[closed] -= 1
+            if closed == tag:
                 return
 
     for m in LEXEME.finditer(page):
@@ -98,18 +118,20 @@ def tokens(page: str, markers: frozenset[str] = frozenset(("article", "main")))
             continue
         if tag in BLOCKS:
             block += 1
-        never, marked = stack[-1][1:]
+        never, marked = stack[-1].never, stack[-1].marked
         if m["end"]:
             close(tag)
         else:
-            if tag in CLOSES_P and any(t == "p" for t, _, _ in stack):
+            if tag in CLOSES_P:
                 close("p")
-            if tag in ("li", "option", "tr", "td", "th", "dt", "dd") and stack[-1][0] == tag:
+            if tag in ("li", "option", "tr", "td", "th", "dt", "dd") and stack[-1].tag == tag:
                 close(tag)
-            never, marked = stack[-1][1:]
-            never = never or never_content(tag, m["rest"])
+            top = stack[-1]
+            marked = top.marked
+            never = top.never or never_content(tag, m["rest"])
             if tag not in VOID and not m["rest"].endswith("/"):
-                stack.append((tag, never, marked or tag in markers))
+                stack.append(Open(tag, never, marked or tag in markers, tag if tag in BLOCKS else top.around, top.named or (bool(m["rest"]) and named(m["rest"]))))
+                count[tag] += 1
         if tag in INLINE_GAPS:
             out.append(Token(f"t:{tag}", 0, " ", block, never, marked))
         else:
@@ -128,9 +150,14 @@ class PageWeights:
     tag: float = -1.0
 
     def of(self, kind: str) -> float:
+        """The learned score; words under a listed part of a name count as words without it until something is learned."""
         if not kind:
             return 0.0
-        return self.known.get(kind, self.word if kind[0] == "w" else self.tag)
+        if kind in self.known:
+            return self.known[kind]
+        if kind.endswith("+n"):
+            return self.of(kind[:-2])
+        return self.word if kind[0] == "w" else self.tag
 
 
 def best_region(scores: list[float]) -> tuple[int, int]:
