@@ -1,23 +1,85 @@
-"""Content fingerprint and lineage record."""
+"""Content fingerprint and lineage record.
+
+A row of a series has one digest, of its position in the series and the exact bits of its values. The digests of the rows
+in a window are summed limb by limb: positions are part of them, so the sum stands for the rows in their order, and it rolls
+along the series as integers. A window's digest covers that sum, its engine, position and label.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wearspan.functions.digests import LIMBS, limb, scaled_text
+from wearspan.functions.digests import LIMBS, SHORT_LIMBS, bits_text, limb, short_limb
+from wearspan.operators.blocks import HALO
+from wearspan.operators.ranked import RANK, LongSeries, split_by_rank
+from wearspan.schemas import CYCLE, ENTITY, LABEL
+
+DIGEST = "_d"
+# Above this length the sum of a window's limbs might leave a BIGINT.
+LONGEST_WINDOW = 32_768
+
+
+def row_digest(position: Column, values: Column) -> Column:
+    """SHA-256 of a row: its 1-based position and the text of its values' bits."""
+    return F.sha2(F.concat_ws("|", position.cast("string"), values), 256)
+
+
+def window_digest(engine: Column, position: Column, label: Column, limbs: list[Column]) -> Column:
+    """SHA-256 of one window: 0-based position, label, limb sums of its rows' digests, and engine."""
+    head = [F.coalesce(c.cast("string"), F.lit("null")) for c in (position, label, *limbs)]
+    return F.sha2(F.concat_ws("|", *head, engine), 256)
+
+
+def check_length(window: int) -> None:
+    if not 1 <= window <= LONGEST_WINDOW:
+        raise ValueError(f"window must lie in 1 to {LONGEST_WINDOW}, got {window}")
+
 
+def digests_of_series(rows: DataFrame, features: list[str], window: int, long: LongSeries | None = None) -> DataFrame:
+    """(engine_id, window_index, label, `_d`) of every full window, from the rows: no window is built.
 
-def window_digest(
-    engine: Column, position: Column, label: Column, features: Column
-) -> Column:
-    """SHA-256 of one window: engine, position in the engine, label and values in millionths."""
-    return F.sha2(
-        F.concat_ws(
-            "|", engine, position.cast("string"), label.cast("string"), scaled_text(features)
+    Each row is digested once and what the frame holds of it is five integers, however many features there are. Long
+    engines are cut by rank; `long` hands in a size check that was made already.
+    """
+    check_length(window)
+    order = [CYCLE, *features]
+    split = split_by_rank(rows.select(ENTITY, CYCLE, LABEL, *features), ENTITY, order, window - 1, long=long)
+    series = Window.partitionBy(*split.keys).orderBy(*split.order)
+    placed = split.rows.withColumn("_position", F.coalesce(F.col(RANK), F.row_number().over(series).cast("long")))
+    values = F.concat_ws(",", *[bits_text(F.col(c)) for c in features])
+    digested = placed.withColumn("_row_digest", row_digest(F.col("_position"), values))
+    frame = series.rowsBetween(1 - window, Window.currentRow)
+    names = [f"_s{i}" for i in range(SHORT_LIMBS)]
+    short = digested.withColumns({n: short_limb(F.col("_row_digest"), i) for i, n in enumerate(names)})
+    summed = short.withColumns({n: F.sum(n).over(frame) for n in names})
+    full = summed.filter((F.col("_position") >= window) & ~F.col(HALO)).withColumn("window_index", F.col("_position") - window)
+    digest = window_digest(F.col(ENTITY), F.col("window_index"), F.col(LABEL), [F.col(n) for n in names])
+    return full.select(F.col(ENTITY).alias("engine_id"), "window_index", LABEL, digest.alias(DIGEST))
+
+
+def digests_of_windows(
+    windows: DataFrame, width: int, position: str = "window_index", values: str = "windowed_features"
+) -> DataFrame:
+    """The digests of `digests_of_series` from a window table, whose flat windows have `width` values a step."""
+    steps = F.sequence(F.lit(0), (F.size(values) / width).cast("int") - 1)
+    row = F.transform(
+        steps,
+        lambda i: row_digest(
+            F.col(position) + i + 1,
+            F.concat_ws(",", F.transform(F.slice(F.col(values), i * width + 1, F.lit(width)), bits_text)),
         ),
-        256,
     )
+    start = F.struct(*[F.lit(0).cast("long").alias(f"_s{i}") for i in range(SHORT_LIMBS)])
+    sums = F.aggregate(
+        row,
+        start,
+        lambda acc, d: F.struct(*[(acc[f"_s{i}"] + short_limb(d, i)).alias(f"_s{i}") for i in range(SHORT_LIMBS)]),
+    )
+    summed = windows.select("engine_id", position, LABEL, sums.alias("_sums"))
+    limbs = [F.col(f"_sums._s{i}") for i in range(SHORT_LIMBS)]
+    digest = window_digest(F.col("engine_id"), F.col(position), F.col(LABEL), limbs)
+    return summed.select("engine_id", position, LABEL, digest.alias(DIGEST))
 
 
 def digest_total(digests: DataFrame, digest: str, by: list[str] | None = None) -> DataFrame:
@@ -47,22 +109,14 @@ def split_text(val_split: float, test_split: float, seed: int) -> str:
 
 
 def fingerprint(
-    windows: DataFrame,
-    features: list[str],
-    val_split: float,
-    test_split: float,
-    seed: int,
-    position: str = "window_index",
-    values: str = "windowed_features",
+    digests: DataFrame, features: list[str], val_split: float, test_split: float, seed: int
 ) -> DataFrame:
-    """One row: digest of the exact content trained on, with split parameters and feature names."""
-    rows = windows.select(
-        window_digest(
-            F.col("engine_id"), F.col(position), F.col("failure_type"), F.col(values)
-        ).alias("_d")
-    )
+    """One row: digest of the exact content trained on, with split parameters and feature names.
+
+    `digests` are those of `digests_of_series` or `digests_of_windows`.
+    """
     extra = f"{split_text(val_split, test_split, seed)};{','.join(features)}"
-    return digest_total(rows, "_d").select(
+    return digest_total(digests, DIGEST).select(
         "rows",
         F.sha2(F.concat_ws("|", F.col("digest"), F.lit(extra)), 256).alias("fingerprint"),
     )

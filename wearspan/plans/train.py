@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wearspan.functions.times import epoch_micros
-from wearspan.operators.lineage import fingerprint, lineage_tags
+from wearspan.operators.lineage import digests_of_windows, fingerprint, lineage_tags
 from wearspan.operators.metrics import diagnostics, gate_metrics
 from wearspan.operators.registry import judge_challengers
 from wearspan.operators.sampling import SPLITS, split_rule, split_sizes
@@ -82,8 +82,9 @@ def train_and_evaluate(
     run_id = run_id or uuid.uuid4().hex
     names = feature_names(read_manifest(spark, data_dir))
     rows = check_training_table(read_windows(spark, data_dir), names, params.window_size)
+    digests = digests_of_windows(positioned(rows), len(names))
     content = fingerprint(
-        positioned(rows), names, params.val_split, params.test_split, params.seed
+        digests, names, params.val_split, params.test_split, params.seed
     ).first()["fingerprint"]
 
     rule = split_rule(rows, params.val_split, params.test_split, params.seed, key="engine_id")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wearspan.operators.labeling import drop_duplicate_rows, last_cycles, sensor_spread
-from wearspan.operators.lineage import digest_total, fingerprint, window_digest
+from wearspan.operators.lineage import DIGEST, digest_total, digests_of_series, fingerprint
 from wearspan.operators.metrics import (
     average_f1,
     baseline,
@@ -17,12 +17,12 @@ from wearspan.operators.metrics import (
     mean_loss,
     weighted_log_loss,
 )
+from wearspan.operators.ranked import LongSeries
 from wearspan.operators.sampling import split_three_ways
 from wearspan.operators.scaling import fit_scaler, window_weight
 from wearspan.operators.weights import attach_weights, class_weights, majority_class
 from wearspan.queries.catalog import (
     ACCURACY,
-    FLOATS,
     MACRO_F1,
     SERIES,
     VARYING,
@@ -34,10 +34,9 @@ from wearspan.queries.catalog import (
     recall,
     support,
 )
-from wearspan.queries.series import windows_of_30
 from wearspan.schemas import CYCLE, ENTITY, LABEL
 from wearspan.sources import derived
-from wearspan.sources.bindings import labeled, numbered_lines, table, telemetry, with_copies
+from wearspan.sources.bindings import labeled, labeled_series, numbered_lines, table, telemetry, with_copies
 
 _COUNTS = ", ".join(
     f"count(*) FILTER (WHERE failure_type = {t} AND predicted = {p}) AS t{t}_p{p}"
@@ -293,24 +292,26 @@ def log_loss(spark, sf_dir):
     return loss.select(F.round("log_loss", 6).alias("log_loss"))
 
 
-_VALUES = "array_to_string(list_transform(flatten(readings), lambda x: CAST(CAST(round(CAST(x AS DOUBLE) * 1000000) AS BIGINT) AS VARCHAR)), ',')"
-_DIGESTS = f"""(SELECT global_unit, sha256(global_unit || '|' || CAST(position - 30 AS VARCHAR) || '|' || CAST(failure_type AS VARCHAR) || '|' || {_VALUES}) AS d
-  FROM (SELECT global_unit, failure_type, row_number() OVER ({SERIES}) AS position,
-               list([{FLOATS}]) OVER ({SERIES} ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS readings FROM lab)
-  WHERE len(readings) = 30)"""
+# Bits by the engine's own cast, against the arithmetic of the operator.
+_BITS = " || ',' || ".join(f"CAST(CAST(CAST(CAST({c} AS FLOAT) AS BIT) AS BIGINT) AS VARCHAR)" for c in VARYING)
+_SUMS = " || '|' || ".join(
+    f"CAST(CAST(sum(CAST(('0x' || substr(rd, {12 * i + 1}, 12)) AS BIGINT)) OVER ({SERIES} ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS BIGINT) AS VARCHAR)"
+    for i in range(5)
+)
+_DIGESTS = f"""(SELECT global_unit, sha256(CAST(position - 30 AS VARCHAR) || '|' || CAST(failure_type AS VARCHAR) || '|' || sums || '|' || global_unit) AS d
+  FROM (SELECT global_unit, failure_type, position, {_SUMS} AS sums
+        FROM (SELECT *, sha256(CAST(position AS VARCHAR) || '|' || {_BITS}) AS rd
+              FROM (SELECT *, row_number() OVER ({SERIES}) AS position FROM lab)))
+  WHERE position >= 30)"""
 _LIMBS = " || '|' || ".join(
     f"CAST(sum(CAST(('0x' || substr(d, {15 * i + 1}, 15)) AS HUGEINT)) AS VARCHAR)" for i in range(4)
 )
 
 
-def _windows_with_position(spark, sf_dir):
-    # Cycles are dense and start at 1 in this view, so the end cycle gives the position.
-    return windows_of_30(spark, sf_dir).select(
-        "engine_id",
-        LABEL,
-        (F.col("end_cycle") - 30).alias("window_index"),
-        F.flatten("readings").alias("windowed_features"),
-    )
+def _digests(spark, sf_dir):
+    rows, plan = labeled_series(spark, sf_dir)
+    # A plan says that the size check of the line items found nothing to cut.
+    return digests_of_series(rows, VARYING, 30, LongSeries(None) if plan else None)
 
 
 @query(
@@ -319,14 +320,8 @@ def _windows_with_position(spark, sf_dir):
     ("lab",),
 )
 def engine_digests(spark, sf_dir):
-    rows = _windows_with_position(spark, sf_dir)
-    digests = rows.select(
-        "engine_id",
-        window_digest(
-            F.col("engine_id"), F.col("window_index"), F.col(LABEL), F.col("windowed_features")
-        ).alias("_d"),
-    )
-    return digest_total(digests, "_d", ["engine_id"])
+    """Digest of all windows of an engine, rolled along its rows."""
+    return digest_total(_digests(spark, sf_dir), DIGEST, ["engine_id"])
 
 
 @query(
@@ -336,7 +331,8 @@ def engine_digests(spark, sf_dir):
     ("lab",),
 )
 def run_fingerprint(spark, sf_dir):
-    return fingerprint(_windows_with_position(spark, sf_dir), VARYING, 0.2, 0.2, 42)
+    """Content of a run: split parameters, feature names and the exact bits of every window."""
+    return fingerprint(_digests(spark, sf_dir), VARYING, 0.2, 0.2, 42)
 
 
 @query(
