@@ -30,16 +30,29 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of near-duplicates the row with the smallest doc_id. Rows that share a doc_id are one
-    document, of which one row stays: the one with the smallest text. Rows without doc_id or without words stay."""
-    found = minhash.near_components(docs, NEAR)
-    leave = saved(found.where("NOT kept").select("doc_id").distinct(), "leave")
-    kept = docs.join(leave, "doc_id", "left_anti").select(*docs.columns)
-    repeated = saved(docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
-    if not repeated.limit(1).count():
-        return kept
-    one = kept.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), "text").alias("row"), F.first(F.struct(*docs.columns)).alias("any"))
-    return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(one.select(F.coalesce("row", "any").alias("row")).select("row.*"))
+    """Of every group of near-duplicates the document with the smallest doc_id. Rows without doc_id or without words stay.
+
+    A document is a (doc_id, text): rows that share a doc_id but not their text are judged apart, the smaller SHA-256
+    of the text first, and of rows that share both one stays.
+    """
+    named = docs.where("doc_id IS NOT NULL")
+    if not named.groupBy("doc_id").count().where("count > 1").limit(1).count():
+        leave = saved(near_duplicates(docs.select("doc_id", "text")), "leave")
+        return docs.join(leave, "doc_id", "left_anti").select(*docs.columns)
+    digest = F.coalesce(F.sha2(F.col("text").cast("string"), 256), F.lit("none"))
+    marked = named.select(F.struct(*docs.columns).alias("row"), "doc_id", digest.alias("digest"))
+    one = saved(marked.groupBy("doc_id", "digest").agg(F.first("row").alias("row")), "versions")
+    # Numbers in the order of (doc_id, digest), which spreads a hot doc_id over ranges; written, so that they stay.
+    ranged = one.repartitionByRange("doc_id", "digest").sortWithinPartitions("doc_id", "digest")
+    numbered = saved(ranged.withColumn("number", F.monotonically_increasing_id()), "numbered")
+    leave = saved(near_duplicates(numbered.select(F.col("number").alias("doc_id"), F.col("row.text").alias("text"))), "leave")
+    kept = numbered.join(leave.withColumnRenamed("doc_id", "number"), "number", "left_anti").select("row.*")
+    return kept.unionByName(docs.where("doc_id IS NULL"))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """The ids of `docs` that leave."""
+    return minhash.near_components(docs, NEAR).where("NOT kept").select("doc_id")
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -66,3 +66,13 @@ def test_run_and_empty_corpus(spark, folder, documents, tmp_path):
     documents([]).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_different_texts_of_a_repeated_id_are_documents_of_their_own(spark, documents, tmp_path):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
+    rows = [(5, a), (5, b), (5, b), (5, None), (5, ""), (9, a + " more"), (9, c), (12, d), (13, d + " more"), (None, b), (None, None)]
+    docs = documents(rows, row=1, number=2, digest="x", _digest="y")
+    kept = corpus_pipeline.one_of_each_group(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns
+    got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=repr)
+    assert got == sorted([(5, a), (5, b), (5, None), (5, ""), (9, c), (12, d), (None, b), (None, None)], key=repr)
