@@ -6,7 +6,8 @@ import pytest
 from helpers import write_fleet
 from pyspark.sql import functions as F
 
-from wearspan.operators.scoring import audit_rows, critical_above
+from wearspan.operators.linear import score_linear
+from wearspan.operators.scoring import audit_rows, critical_above, score_windows
 from wearspan.operators.selection import GateFailed
 from wearspan.params import JobParams
 from wearspan.plans.features import prepare
@@ -91,6 +92,22 @@ def test_every_window_is_scored(spark, prepared, champion_run):
     assert critical_above(answers, 0.3).count() == sum(r["probabilities"]["Critical"] > 0.3 for r in rows)
 
 
+def test_the_model_table_scores_like_the_model(spark, prepared, champion_run):
+    ledger, run = champion_run
+    champion = ledger.champion("wear_classifier", 30)
+    windows = read_windows(spark, prepared)
+    keys = ["engine_id", "event_timestamp"]
+    by_table = score_linear(windows, ledger.linear_model(run["run_id"]), champion.scaler, "windowed_features")
+    by_model = score_windows(windows, champion.model, champion.scaler, "windowed_features")
+    plan = by_table._jdf.queryExecution().executedPlan().toString()
+    assert "UDF" not in plan and "Exchange" not in plan
+    both = by_table.select(*keys, "probabilities", "predicted").join(
+        by_model.select(*keys, F.col("probabilities").alias("p"), F.col("predicted").alias("c")), keys
+    )
+    far = F.exists(F.zip_with("probabilities", "p", lambda x, y: F.abs(x - y) > 1e-9), lambda b: b)
+    assert both.count() == WINDOWS and both.filter(far | (F.col("predicted") != F.col("c"))).count() == 0
+
+
 def test_requests_are_scored_like_the_table(spark, prepared, champion_run):
     ledger, _ = champion_run
     windows = read_windows(spark, prepared)

@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wearspan.functions.digests import seeded_digest
+from wearspan.functions.scores import class_name
 from wearspan.functions.times import epoch_micros
+from wearspan.operators.linear import LinearModel, fit_centroids, score_linear
 from wearspan.operators.ordinals import digest_rank
 from wearspan.operators.sampling import (
     engine_table,
     select_engines,
     selected_engines,
     split_leaks,
+    split_rule,
     split_sizes,
     split_three_ways,
     split_two_ways,
@@ -252,3 +255,63 @@ def feature_build(spark, sf_dir):
 )
 def built_manifest(spark, sf_dir):
     return read_manifest(spark, built(spark, sf_dir))
+
+
+def _list(prefix: str) -> str:
+    return "[" + ", ".join(f"{prefix}{i}" for i in range(len(VARYING))) + "]"
+
+
+_SCALED = f"""z AS (SELECT engine_id, failure_type, split, list_transform(flatten(readings), lambda x, i:
+         CAST(CAST((CAST(x AS DOUBLE) - ms[(i - 1) % 4 + 1]) / CASE WHEN ss[(i - 1) % 4 + 1] = 0 THEN 1 ELSE ss[(i - 1) % 4 + 1] END AS FLOAT) AS DOUBLE)) AS v
+       FROM win JOIN placed ON engine_id = global_unit, (SELECT {_list('m')} AS ms, {_list('s')} AS ss FROM {_SCALER}))"""
+_MEANS = """mean AS (SELECT failure_type AS k, list(m ORDER BY i) AS w FROM (
+    SELECT failure_type, i, avg(x) AS m FROM (SELECT failure_type, unnest(v) AS x, unnest(generate_series(1, 120)) AS i FROM z WHERE split = 'train')
+    GROUP BY failure_type, i) GROUP BY failure_type)"""
+_CENTROIDS = f"WITH weighted AS ({_TRAIN_ROWS}), {_SCALED}, {_MEANS}"
+
+
+def _centroid_model(spark, sf_dir):
+    rows, scaler = _train_scaler(spark, sf_dir)
+    state = ScalerState.of(scaler)
+    windows = windows_of_30(spark, sf_dir).select("engine_id", LABEL, F.flatten("readings").alias("windowed_features"))
+    rule = split_rule(rows.select(ENTITY))
+    return windows, state, fit_centroids(rule.part(windows, "engine_id", "train"), state)
+
+
+@query(
+    "trn_1_class_means",
+    f"""SELECT * FROM ({_CENTROIDS}
+SELECT k AS class, round(-list_dot_product(w, w) / 240, 6) AS intercept, CAST(i AS INTEGER) AS position, round(120 * (w[i] / 120), 6) AS mean
+FROM mean, (SELECT unnest(generate_series(1, 120)) AS i))""",
+    ("win", "placed"),
+)
+def class_means(spark, sf_dir):
+    """The model of the nearest class mean, as its table: every weight, fitted on the training engines only."""
+    table_of_model = _centroid_model(spark, sf_dir)[2].table(spark)
+    long = table_of_model.select("class", F.round("intercept", 6).alias("intercept"), F.posexplode("weights").alias("_i", "_w"))
+    return long.select("class", "intercept", (F.col("_i") + 1).alias("position"), F.round(F.col("_w") * 120, 6).alias("mean"))
+
+
+@query(
+    "scr_1_table_model",
+    f"""SELECT * FROM ({_CENTROIDS},
+  score AS (SELECT engine_id, split, failure_type, [a, b, c] AS s, greatest(a, b, c) AS top FROM (
+    SELECT engine_id, split, failure_type, {', '.join(f"(list_dot_product(v, w{k}) - list_dot_product(w{k}, w{k}) / 2) / 120 AS {n}" for k, n in enumerate('abc'))}
+    FROM z, (SELECT {', '.join(f'any_value(w) FILTER (WHERE k = {k}) AS w{k}' for k in range(3))} FROM mean))),
+  chance AS (SELECT *, list_transform(s, lambda x: exp(x - top)) AS e FROM score)
+SELECT engine_id, split, failure_type, CASE WHEN s[1] = top THEN 'Healthy' WHEN s[2] = top THEN 'Alert' ELSE 'Critical' END AS prediction,
+       count(*) AS windows, round(avg(e[1] / list_sum(e)), 6) AS healthy, round(avg(e[3] / list_sum(e)), 6) AS critical
+FROM chance GROUP BY ALL)""",
+    ("win", "placed"),
+)
+def table_model(spark, sf_dir):
+    """Every window scored by an expression over a model table, per engine, truth and answer."""
+    windows, state, model = _centroid_model(spark, sf_dir)
+    scored = score_linear(windows, LinearModel.of(model.table(spark)), state, "windowed_features")
+    rule = split_rule(telemetry(spark, sf_dir).select(ENTITY))
+    placed = rule.assigned(scored, "engine_id")
+    return placed.groupBy("engine_id", "split", LABEL, class_name(F.col("predicted")).alias("prediction")).agg(
+        F.count(F.lit(1)).alias("windows"),
+        F.round(F.avg(F.get("probabilities", 0)), 6).alias("healthy"),
+        F.round(F.avg(F.get("probabilities", 2)), 6).alias("critical"),
+    )

@@ -89,6 +89,14 @@ MODEL_SHAPES = T.StructType(
         T.StructField("scaler_features", T.IntegerType(), False),
     ]
 )
+LINEAR_MODEL = T.StructType(
+    [
+        T.StructField("class", T.IntegerType(), False),
+        T.StructField("intercept", T.DoubleType(), False),
+        T.StructField("weights", T.ArrayType(T.DoubleType(), False), False),
+    ]
+)
+LINEAR_MODELS = T.StructType([T.StructField("run_id", T.StringType()), *LINEAR_MODEL.fields])
 SCALERS = T.StructType(
     [
         T.StructField("run_id", T.StringType()),

@@ -11,9 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wearspan.operators.linear import LinearModel, of_regression
 from wearspan.operators.registry import champions, consistent_shapes
 from wearspan.operators.scaling import ScalerState
-from wearspan.schemas import MODEL_SHAPES, PROMOTIONS, RUN_METRICS, RUN_VALUES, SCALERS
+from wearspan.schemas import LINEAR_MODELS, MODEL_SHAPES, PROMOTIONS, RUN_METRICS, RUN_VALUES, SCALERS
 
 class NoChampion(RuntimeError):
     """There is no promoted model to score with."""
@@ -97,6 +98,13 @@ class Ledger:
     def scalers(self) -> DataFrame:
         return self._table("scalers", SCALERS)
 
+    def linear_models(self) -> DataFrame:
+        """The numbers of every saved model: what another engine needs to score with it."""
+        return self._table("linear", LINEAR_MODELS)
+
+    def linear_model(self, run_id: str) -> LinearModel:
+        return LinearModel.of(self.linear_models().filter(F.col("run_id") == run_id))
+
     def runs(self) -> DataFrame:
         """(run_id, fingerprint, f2_weighted): what a champion comparison needs."""
         tags = (
@@ -118,6 +126,8 @@ class Ledger:
         scaler.withColumn("run_id", F.lit(run_id)).select("run_id", *scaler.columns).coalesce(
             1
         ).write.mode("append").parquet(f"{self.root}/scalers")
+        numbers = of_regression(model).table(self.spark).withColumn("run_id", F.lit(run_id))
+        numbers.select(*LINEAR_MODELS.names).coalesce(1).write.mode("append").parquet(f"{self.root}/linear")
         self._append([(run_id, window, width, scaler.count())], MODEL_SHAPES, "shapes")
 
     def promote(self, model_name: str, run_id: str, at: datetime | None = None) -> int:
