@@ -6,7 +6,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from wearspan.operators.lineage import fingerprint, lineage_tags
+from wearspan.operators.lineage import digests_of_windows, fingerprint, lineage_tags
 from wearspan.operators.registry import (
     champions,
     consistent_shapes,
@@ -145,13 +145,21 @@ def test_shapes_and_description(spark):
     )
 
 
+def test_a_champion_without_shape_has_the_default_one(spark):
+    shapes = spark.createDataFrame([("b", 30, 5, 4)], "run_id string, window_size int, model_features int, scaler_features int")
+    promoted = [("m", 1, "a", datetime(2024, 1, 1)), ("broken", 1, "b", datetime(2024, 1, 1)), ("empty", 1, None, datetime(2024, 1, 1))]
+    names = spark.createDataFrame([("a", 1, "y"), ("a", 0, "x")], "run_id string, position int, feature string")
+    rows = describe_champions(spark.createDataFrame(promoted, PROMOTIONS), shapes, names, 10).collect()
+    assert [(r["model_name"], r["window_size"], r["num_features"], r["feature_names"]) for r in rows] == [("m", 10, 2, ["x", "y"])]
+
+
 def test_fingerprint_is_stable_and_sensitive(spark):
     rows = [(f"E{i % 2}", i, i % 3, [float(i), i + 0.5]) for i in range(20)]
     schema = "engine_id string, window_index long, failure_type int, windowed_features array<float>"
 
     def of(data=rows, val=0.2, test=0.2, seed=42, parts=3, names=("a", "b")):
         df = spark.createDataFrame(data, schema).repartition(parts)
-        return fingerprint(df, list(names), val, test, seed).first()["fingerprint"]
+        return fingerprint(digests_of_windows(df, len(names)), list(names), val, test, seed).first()["fingerprint"]
 
     base = of()
     assert of(parts=7) == base

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from wearspan.operators.scoring import checked_requests
 from wearspan.plans.score import score_requests
 from wearspan.queries.streams import fitted_champion
+from wearspan.sources.ledger import Champion, NoChampion
 from wearspan.sources.requests import read_requests, stream_requests
 from wearspan.streaming.live_windows import STATE_STORE, drain, late_rows, live_windows, start_distinct
-from wearspan.streaming.requests import BatchChampion, start_quarantine, start_scoring
+from wearspan.streaming.requests import BatchChampion, DecisionLog, start_quarantine, start_scoring
 
 FEED = "global_unit string, time_in_cycles long, sensor_1 double, sensor_2 double"
 
@@ -202,3 +203,31 @@ def test_followed_promotions_change_at_a_border(spark):
     assert [champions.of(i) for i in (0, 1)] == ["x", "x"]
     now[0] = 12.0
     assert [champions.of(i) for i in (1, 2, 2, 3)] == ["x", "y", "y", "y"]
+
+
+def test_a_restarted_stream_gives_a_replayed_batch_the_version_it_had(spark, tmp_path):
+    log = DecisionLog(spark, str(tmp_path / "decisions"))
+
+    def version(name, number, run_id):
+        return Champion(name, number, run_id, None, None, 30)
+
+    def started(look_up):
+        return BatchChampion(look_up, follow_promotions=True, every_seconds=0.0, log=log, recall=version)
+
+    def none_yet():
+        raise NoChampion
+
+    first, second = version("m", "1", "r1"), version("m", "2", "r2")
+    before = started(none_yet)
+    assert before.of(0) is None
+    before.look_up = lambda: first
+    assert before.of(1) == first
+    (tmp_path / "decisions" / "batch=2").mkdir()  # the write was cut short
+    after = started(lambda: second)
+    assert [after.of(batch) for batch in (0, 1, 2)] == [None, first, second]
+    assert started(none_yet).of(2) == second
+    with pytest.raises(ValueError, match="recall"):
+        BatchChampion(none_yet, log=log)
+    lost = BatchChampion(none_yet, log=log, recall=lambda *_: none_yet())
+    with pytest.raises(NoChampion):
+        lost.of(1)

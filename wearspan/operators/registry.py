@@ -77,7 +77,11 @@ def consistent_shapes(shapes: DataFrame, default_window: int) -> DataFrame:
 def describe_champions(
     promotions: DataFrame, shapes: DataFrame, manifests: DataFrame, default_window: int
 ) -> DataFrame:
-    """Model description: status, version, shape and ordered feature names of each champion."""
+    """Model description: status, version, shape and ordered feature names of each champion.
+
+    A champion without a shape row has the default window and as many features as its manifest has names; one whose
+    model disagrees with its scaler is left out, as it cannot be loaded.
+    """
     names = (
         manifests.groupBy("run_id")
         .agg(F.array_sort(F.collect_list(F.struct("position", "feature"))).alias("_f"))
@@ -85,14 +89,16 @@ def describe_champions(
     )
     return (
         champions(promotions)
-        .join(consistent_shapes(shapes, default_window).filter("consistent"), "run_id")
+        .filter("run_id IS NOT NULL")
+        .join(consistent_shapes(shapes, default_window), "run_id", "left")
+        .filter(F.coalesce("consistent", F.lit(True)))
         .join(names, "run_id", "left")
         .select(
             F.lit("ok").alias("status"),
             "model_name",
             F.col("version").cast("string").alias("model_version"),
-            "window_size",
-            "num_features",
+            F.coalesce("window_size", F.lit(default_window)).alias("window_size"),
+            F.coalesce("num_features", F.size("feature_names")).alias("num_features"),
             "feature_names",
         )
     )

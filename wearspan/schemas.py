@@ -89,6 +89,13 @@ MODEL_SHAPES = T.StructType(
         T.StructField("scaler_features", T.IntegerType(), False),
     ]
 )
+DECISIONS = T.StructType(
+    [
+        T.StructField("model_name", T.StringType()),
+        T.StructField("version", T.StringType()),
+        T.StructField("run_id", T.StringType()),
+    ]
+)
 LINEAR_MODEL = T.StructType(
     [
         T.StructField("class", T.IntegerType(), False),

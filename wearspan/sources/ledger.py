@@ -145,7 +145,10 @@ class Ledger:
         row = champions(self.promotions().filter(F.col("model_name") == model_name)).first()
         if row is None or row["run_id"] is None:
             raise NoChampion(f"model {model_name} has no champion")
-        run_id = row["run_id"]
+        return self.version(model_name, str(row["version"]), row["run_id"], default_window)
+
+    def version(self, model_name: str, version: str, run_id: str, default_window: int) -> Champion:
+        """Load the artifacts of a given version, the champion of today or not."""
         shape = consistent_shapes(
             self.shapes().filter(F.col("run_id") == run_id), default_window
         ).first()
@@ -158,7 +161,7 @@ class Ledger:
         )
         return Champion(
             model_name=model_name,
-            version=str(row["version"]),
+            version=version,
             run_id=run_id,
             model=LogisticRegressionModel.load(f"{self.root}/models/{run_id}"),
             scaler=scaler,
