@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 import random
+from datetime import datetime, timedelta
 
 import pytest
 from helpers import brute_windows
@@ -119,6 +120,45 @@ def request_files(folder):
     return str(folder)
 
 
+def test_a_batch_costs_what_is_held_and_not_what_was(spark, tmp_path):
+    """Each of 16 batches has ten new minutes and repeats the ten before; a row of long ago is late, one without time is known."""
+    source, out, state = (str(tmp_path / name) for name in ("in", "out", "state"))
+    schema = "at timestamp, value int"
+    sizes = []
+    for hour in range(16):
+        start = datetime(2024, 1, 1) + timedelta(hours=hour)
+        minutes = range(-60, 10) if hour else range(10)
+        rows = [(start + timedelta(minutes=m), 1) for m in minutes if m % 60 < 10] + [(None, 7)]
+        rows += [(datetime(2024, 1, 1), 1)] if hour > 3 else []
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        start_distinct(spark.readStream.schema(schema).parquet(source), out, "at", "2 HOURS", state).awaitTermination()
+        sizes.append(len(list((tmp_path / "out" / "seen" / "digests").glob("bucket=*/batch=*/*.parquet"))))
+    kept = spark.read.schema(schema).parquet(f"{out}/kept")
+    assert kept.count() == kept.distinct().count() == 161
+    assert spark.read.schema(schema).parquet(f"{out}/late").count() == 12
+    assert max(sizes) <= 6 and sizes[-1] <= sizes[5]
+
+
+def test_a_replayed_batch_finds_the_digests_it_had(spark, tmp_path):
+    source, out, state = (str(tmp_path / name) for name in ("in", "out", "state"))
+    schema = "at timestamp, value int"
+
+    def run():
+        start_distinct(spark.readStream.schema(schema).parquet(source), out, "at", "1 HOUR", state).awaitTermination()
+
+    for hour in range(5):
+        rows = [(datetime(2024, 1, 1) + timedelta(hours=h, minutes=m), 1) for h in (hour - 1, hour) for m in (0, 20, 40)]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        run()
+    before = {name: sorted(map(str, spark.read.parquet(f"{out}/{name}").collect())) for name in ("kept", "late", "counts")}
+    for folder in ("commits", "offsets"):
+        assert (tmp_path / "state" / folder / "4").exists()
+    (tmp_path / "state" / "commits" / "4").unlink()
+    (tmp_path / "state" / "commits" / ".4.crc").unlink(missing_ok=True)
+    run()
+    assert {name: sorted(map(str, spark.read.parquet(f"{out}/{name}").collect())) for name in before} == before
+
+
 def test_stream_quarantine_equals_batch(spark, tmp_path):
     path = request_files(tmp_path / "in")
     start_quarantine(

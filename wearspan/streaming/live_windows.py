@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from wearspan.schemas import CYCLE, ENTITY
+from wearspan.streaming.seen import DIGEST, WHEN, SeenDigests
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -127,31 +128,30 @@ def start_distinct(
     Rows are equal if all their columns are (or `columns`, if given). A row more than `lateness` behind the
     newest event of earlier batches is late: it is written to `late` as it came, and nobody judges
     whether it was seen before. Any other row is kept once, against the digests of all kept rows that
-    young. A batch writes folders of its own, so a replay overwrites itself. Rows without event time
+    young; older digests are removed. Rows that are equal by `columns` are remembered by the newest event time that
+    a batch has of them. A batch writes folders of its own, so a replay overwrites itself. Rows without event time
     are never late.
     """
-    digest, when = "_digest", "_event_time"
 
     def split(rows: DataFrame, batch: int) -> None:
-        spark = rows.sparkSession
+        seen = SeenDigests(rows.sparkSession, f"{folder}/seen", lateness)
         keys = columns or rows.columns
-        marked = rows.withColumn(digest, F.sha2(F.to_json(F.struct(*keys), EXACT), 256))
-        marked = marked.withColumn(when, F.col(event_time).cast("timestamp")).persist()
-        seen = spark.createDataFrame([], f"{digest} string, {when} timestamp")
-        if batch:
-            seen = spark.read.schema(seen.schema.add("batch", "long")).parquet(f"{folder}/seen").where(F.col("batch") < batch)
-        newest = seen.agg((F.max(when) - F.expr(f"INTERVAL {lateness}")).alias("border")).first()["border"]
-        is_late = F.coalesce(F.col(when) < F.lit(newest), F.lit(False))
-        young = seen.where(~F.coalesce(F.col(when) < F.lit(newest), F.lit(False)))
-        kept = marked.where(~is_late).dropDuplicates([digest]).join(young.select(digest), digest, "left_anti")
-        _batch(kept.select(digest, when), f"{folder}/seen", batch)
-        held = spark.read.schema(f"{digest} string").parquet(f"{folder}/seen/batch={batch}")
-        chosen = marked.where(~is_late).dropDuplicates([digest]).join(held, digest, "left_semi")
+        marked = rows.withColumn(DIGEST, F.sha2(F.to_json(F.struct(*keys), EXACT), 256))
+        marked = marked.withColumn(WHEN, F.unix_micros(F.col(event_time).cast("timestamp"))).persist()
+        border = seen.border(batch)
+        is_late = F.coalesce(F.col(WHEN) < F.lit(border).cast("long"), F.lit(False))
+        fresh = marked.where(~is_late)
+        digests = fresh.groupBy(DIGEST).agg(F.max(WHEN).alias(WHEN))
+        seen.add(digests.join(seen.young(batch, border).select(DIGEST), DIGEST, "left_anti"), batch)
+        held = seen.of(batch)
+        chosen = fresh.dropDuplicates([DIGEST]).join(held, DIGEST, "left_semi")
         _batch(chosen.select(*rows.columns), f"{folder}/kept", batch)
         _batch(marked.where(is_late).select(*rows.columns), f"{folder}/late", batch)
         counts = marked.agg(F.count(F.lit(1)).alias("received"), F.count_if(is_late).alias("late"))
         counts = counts.withColumn("kept", F.lit(held.count()))
         _batch(counts.withColumn("duplicates", F.col("received") - F.col("late") - F.col("kept")), f"{folder}/counts", batch)
+        seen.advance(batch, marked)
+        seen.forget(border)
         marked.unpersist()
 
     return (
