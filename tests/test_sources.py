@@ -153,3 +153,17 @@ def test_scratch_lies_in_the_session_folder(spark):
     assert shared_dir(spark) == spark.sparkContext.getCheckpointDir()
     table = written(spark.range(5).withColumnRenamed("id", "k"), "t")
     assert attach(spark.range(9).withColumnRenamed("id", "k"), table, "k").count() == 5
+
+
+def test_requests_keep_the_types_they_were_written_with(spark, tmp_path):
+    good = ['{"engine_id": "5", "readings": [[1, 2.5]]}', '  {"readings": [["NaN"]], "engine_id": null}', '{"readings": []}', '{"engine_id": "e"}']
+    bad = ['{"engine_id": 5, "readings": []}', '{"engine_id": 5.5}', '{"engine_id": true}', '{"engine_id": ["a"]}', '{"engine_id": {"a": "b"}}', '[{"engine_id": "a"}, {"engine_id": "b"}]']
+    bad += ['{"engine_id": "a", "engine_id": "b"}', '{"engine_id": "a", "readings": "none"}', '{"engine_id": "a", "readings": [["1.5"]]}', '"a"', "5", "null", "{", '{"engine_id": "a"} x']
+    bad += ['{"engine_id": "a"} {"engine_id": "b"}', '{"engine_id": "a"}, {"engine_id": "b"}', '{"engine_id": "a"}] {}', '{"engine_id": "a"}} {}', '{"engine_id": "a"}, "b": {}']
+    (tmp_path / "in.json").write_text("\n".join([*good, "", "   ", *bad]) + "\n")
+    rows = read_requests(spark, str(tmp_path / "in.json")).collect()
+    assert sorted(r["_corrupt_record"] for r in rows if r["_corrupt_record"] is not None) == sorted(bad)
+    kept = [(r["engine_id"], str(r["readings"])) for r in rows if r["_corrupt_record"] is None]
+    assert sorted(kept, key=str) == sorted([("5", "[[1.0, 2.5]]"), (None, "[[nan]]"), (None, "[]"), ("e", "None")], key=str)
+    held = spark.createDataFrame([(None,), (bad[0],)], "text string").select(parse_request(F.col("text")).alias("r")).collect()
+    assert held[0]["r"] is None and held[1]["r"].asDict() == {"engine_id": None, "readings": None, "_corrupt_record": bad[0]}

@@ -118,3 +118,30 @@ def request_files(spark, sf_dir):
     return read.select(status.alias("status"), steps.alias("_steps")).groupBy("status").agg(
         F.count(F.lit(1)).alias("requests"), F.sum("_steps").alias("steps")
     )
+
+
+@query(
+    "src_9_strict_types",
+    """SELECT CASE WHEN vec_id % 6 = 0 THEN '{"engine_id": ' || vec_id || ', "readings": [[1.0]]}'
+            WHEN vec_id % 6 = 1 THEN '{"engine_id": ' || (CASE WHEN vec_id % 4 = 1 THEN 'true' ELSE 'false' END) || ', "readings": [[1.0]]}'
+            WHEN vec_id % 6 = 2 THEN '[{"engine_id": "' || vec_id || '", "readings": [[1.0]]}]'
+            WHEN vec_id % 6 = 3 THEN '{"engine_id": {"id": "' || vec_id || '"}, "readings": [[1.0]]}' END AS refused,
+       CASE WHEN vec_id % 6 = 4 THEN CAST(vec_id AS VARCHAR) END AS engine_id, count(*) AS requests FROM embeddings GROUP BY ALL""",
+)
+def strict_types(spark, sf_dir):
+    """Engine ids that are numbers, truth values or objects, and lists of requests, come back with their text; null ids are no text."""
+    vec = F.col("vec_id")
+    head, tail = F.lit('{"engine_id": '), F.lit(', "readings": [[1.0]]}')
+    kinds = {
+        0: F.concat(head, vec.cast("string"), tail),
+        1: F.concat(head, (vec % 4 == 1).cast("string"), tail),
+        2: F.concat(F.lit('[{"engine_id": "'), vec.cast("string"), F.lit('", "readings": [[1.0]]}]')),
+        3: F.concat(head, F.lit('{"id": "'), vec.cast("string"), F.lit('"}'), tail),
+        4: F.concat(head, F.lit('"'), vec.cast("string"), F.lit('"'), tail),
+    }
+    text = F.concat(head, F.lit("null"), tail)
+    for kind, form in kinds.items():
+        text = F.when(vec % 6 == kind, form).otherwise(text)
+    path = scratch_path(spark, "typed-requests")
+    table(spark, sf_dir, "embeddings").select(text.alias("value")).write.text(path)
+    return read_requests(spark, path).groupBy(F.col(CORRUPT_COLUMN).alias("refused"), "engine_id").agg(F.count(F.lit(1)).alias("requests"))
