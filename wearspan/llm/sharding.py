@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -11,6 +12,10 @@ from pyspark.sql import functions as F
 from wearspan.llm.frames import saved
 
 CODE_BITS, TIE_BITS, STEP_BITS = 16, 46, 12
+# Low bits of a tie tell rows of one text apart.
+ROW_BITS = 16
+# Equal rows that one task numbers.
+RUN = 10_000
 
 
 @dataclass(frozen=True)
@@ -39,11 +44,19 @@ class Cut:
         return Node(self.node.first + half, self.node.shards - half)
 
 
-def position(df: DataFrame, name: str) -> Column:
-    """A number in the order of a metadata column: numbers by their logarithm, text by its first seven bytes."""
+def common_bytes(df: DataFrame, names: list[str]) -> dict[str, int]:
+    """Length in bytes of the beginning that all values of a text column share: that of the least and the greatest."""
+    if not names:
+        return {}
+    ends = df.agg(*[F.hex(f(n)).alias(f"{n}_{end}") for n in names for end, f in (("lo", F.min), ("hi", F.max))]).first()
+    return {n: len(os.path.commonprefix([ends[f"{n}_lo"] or "", ends[f"{n}_hi"] or ""])) // 2 for n in names}
+
+
+def position(df: DataFrame, name: str, skip: int = 0) -> Column:
+    """A number in the order of a metadata column: numbers by their logarithm, text by seven bytes behind its first `skip`."""
     if df.schema[name].dataType.typeName() == "string":
-        head = F.substring(F.rpad(F.hex(F.col(name)), 14, "0"), 1, 14)
-        return F.conv(head, 16, 10).cast("double")
+        head = F.substring(F.rpad(F.substring(F.hex(F.col(name)), 2 * skip + 1, 14), 14, "0"), 1, 14)
+        return F.when(F.col(name).isNotNull(), F.conv(head, 16, 10).cast("double"))
     number = F.nanvl(F.greatest(F.least(F.col(name).cast("double"), F.lit(1e300)), F.lit(-1e300)), F.lit(None).cast("double"))
     return F.signum(number) * F.log1p(F.abs(number))
 
@@ -60,7 +73,7 @@ def coded(rows: DataFrame, dimensions: list[str]) -> DataFrame:
 
 
 def key_of(dimension: str) -> Column:
-    """Code, then a hash that orders equal codes: a cut can pass through a hot value."""
+    """Code, then a hash of text and row that orders equal codes: a cut can pass through a hot value or text."""
     return F.shiftleft(F.col(dimension), TIE_BITS).bitwiseOR(F.col("tie"))
 
 
@@ -143,32 +156,48 @@ def kd_cuts(rows: DataFrame, dimensions: list[str], shards: int, tolerance: floa
     return cuts
 
 
+def numbered_copies(rows: DataFrame) -> DataFrame:
+    """Rows with `copy`, a number from 0 among equal rows. Equal rows are counted, and runs of 10,000 copies written by
+    different tasks."""
+    counted = saved(rows.groupBy(*rows.columns).agg(F.count("*").alias("times")), "copies")
+    if not counted.where("times > 1").limit(1).count():
+        return counted.select(*rows.columns, F.lit(0).cast("long").alias("copy"))
+    runs = counted.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("times") - 1) / RUN))))
+    dealt = runs.repartition("doc_id", "code", "run")
+    last = F.least(F.col("times"), (F.col("run") + 1) * RUN) - 1
+    return saved(dealt.select(*rows.columns, F.explode(F.sequence(F.col("run") * RUN, last)).alias("copy")), "numbered")
+
+
 def shard_documents(docs: DataFrame, shards: int = 24, dimensions: tuple[str, ...] = ("source", "lang", "n_chars"), tolerance: float = 0.0005, per_bucket: int = 20_000) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard of every row of `docs`.
 
     `law` is `bytes`: every part is cut where its bytes divide as its shards do, to within `tolerance` of the wanted
     bytes or one row, along the dimension in which it is widest. Equal codes are ordered by a hash of the
-    row, so hot sources and repeated rows are cut like any others. Slots number the rows of a shard:
+    text and then of the row, so hot sources and repeated rows are cut like any others, and a cut passes through at most
+    one text among rows of one code; equal texts of different sources or languages may part. Slots number the rows of a shard:
     counts of hashed buckets (about `per_bucket` rows) are summed first, so no task sorts a whole shard.
+    Rows are told apart by doc_id, text and a copy number, so the result does not depend on the files they lie in.
     NULL text: size 8 and crc32 of nothing; NULL metadata sorts lowest; missing dimensions are skipped. With
     fewer rows than shards some shards stay empty.
     """
     present = [d for d in dimensions if d in docs.columns]
+    skip = common_bytes(docs, [d for d in present if docs.schema[d].dataType.typeName() == "string"])
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     size = (F.octet_length(text) + 8).cast("long").alias("size")
-    dims = [position(docs, d).alias(f"dim_{d}") for d in present] or [F.lit(0.0).alias("dim_none")]
+    dims = [position(docs, d, skip.get(d, 0)).alias(f"dim_{d}") for d in present] or [F.lit(0.0).alias("dim_none")]
     names = [f"dim_{d}" for d in present] or ["dim_none"]
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), size, F.crc32(text).alias("text_crc32"), *dims, F.monotonically_increasing_id().alias("row"))
-    slim = saved(slim, "sizes")
-    tie = F.shiftrightunsigned(F.xxhash64("row"), 64 - TIE_BITS).alias("tie")
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), size, F.crc32(text).alias("text_crc32"), F.xxhash64(text).alias("code"), *dims)
+    slim = numbered_copies(saved(slim, "sizes"))
+    same_text = F.shiftleft(F.shiftrightunsigned(F.xxhash64("code"), 64 - TIE_BITS + ROW_BITS), ROW_BITS)
+    tie = same_text.bitwiseOR(F.shiftrightunsigned(F.xxhash64("doc_id", "code", "copy"), 64 - ROW_BITS)).alias("tie")
     rows = coded(slim, names).select("*", tie)
     placed = rows.withColumn("shard", node_of(kd_cuts(rows, names, shards, tolerance)))
     buckets = max(1, round(slim.count() / per_bucket))
-    placed = placed.withColumn("bucket", F.pmod(F.xxhash64("row", F.lit(1)), F.lit(buckets)))
+    placed = placed.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "code", "copy", F.lit(1)), F.lit(buckets)))
     counts = placed.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
     before = F.coalesce(F.sum("n").over(Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     starts = counts.select("shard", "bucket", before.alias("start"))
-    order = Window.partitionBy("shard", "bucket").orderBy("doc_id", "row")
+    order = Window.partitionBy("shard", "bucket").orderBy("doc_id", "code", "copy")
     numbered = placed.join(starts, ["shard", "bucket"]).withColumn("slot", F.col("start") + F.row_number().over(order) - 1)
     return numbered.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"), F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard")
