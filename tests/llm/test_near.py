@@ -113,3 +113,20 @@ def test_vector_links_equal_brute_force(spark):
         assert (out[i]["n_links"], out[i]["component_id"], out[i]["kept"]) == (n, c, i == c)
     assert all((out[i]["n_links"], out[i]["component_id"]) == (0, i) for i, *_ in odd)
     assert vectors.near_vectors(df.limit(0)).count() == 0
+
+
+def test_long_vectors_link_like_any_other(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    long = rng.standard_normal(40_000)
+    rows = [(i, (long + 0.1 * i * rng.standard_normal(40_000)).tolist(), 0, "x") for i in range(1, 4)] + [(9, rng.standard_normal(40_000).tolist(), 0, "x")]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int, node string").selectExpr("*", "1 AS weight", "'k' AS key", "2 AS size")
+    out = {r["vec_id"]: tuple(r)[1:] for r in vectors.near_vectors(df).collect()}
+    unit = np.array([v for _, v, *_ in rows])
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    linked = unit @ unit.T >= 0.93
+    assert [out[i][0] for i in (1, 2, 3, 9)] == (linked.sum(1) - 1).tolist() and out[1][0] > 0
+    assert out[9] == (0, 9, True) and out[2][1] == 1
+    p = vectors.StableParams()
+    whole = vectors.projected(unit[:, :100], p, {})
+    monkeypatch.setattr(vectors, "SLICE", 7)
+    assert np.allclose(vectors.projected(unit[:, :100], p, {}), whole)

@@ -22,8 +22,8 @@ from wearspan.llm.frames import saved, ship
 from wearspan.llm.minhash import mixed
 
 
-# A bucket key holds its table and the vector's length in 16 bits each.
-MOST = 2**15
+# Components that are projected at once.
+SLICE = 4096
 
 
 @dataclass(frozen=True)
@@ -48,8 +48,37 @@ class StableParams:
         return math.ceil(math.log(self.missed) / math.log(1 - one**self.together))
 
 
-def usable(values: list | None) -> bool:
-    return bool(values) and len(values) < MOST and None not in values and all(map(math.isfinite, values)) and any(values)
+    @property
+    def table_bits(self) -> int:
+        """A bucket key holds 32 bits of code, and its table and the vector's length in 32 further bits."""
+        return self.tables.bit_length()
+
+    @property
+    def most(self) -> int:
+        """Vectors must be shorter; with the default tables that is 16,777,216."""
+        return 2 ** (32 - self.table_bits)
+
+
+def usable(values: list | None, most: int) -> bool:
+    return bool(values) and len(values) < most and None not in values and all(map(math.isfinite, values)) and any(values)
+
+
+def projected(unit: np.ndarray, p: StableParams, drawn: dict[int, tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Shifted projections of vectors of one length on all directions. The directions of short vectors are kept in
+    `drawn`; those of long ones are drawn again for every slice of components, so that none is held whole."""
+    size, columns = unit.shape[1], p.tables * p.together
+    if size in drawn:
+        directions, shifts = drawn[size]
+        return unit @ directions + shifts
+    rng = np.random.default_rng([p.seed, size])
+    if size <= SLICE:
+        drawn[size] = rng.standard_normal((size, columns)), rng.uniform(0, p.width, columns)
+        return projected(unit, p, drawn)
+    total = np.zeros((len(unit), columns))
+    for at in range(0, size, SLICE):
+        part = unit[:, at : at + SLICE]
+        total += part @ rng.standard_normal((part.shape[1], columns))
+    return total + rng.uniform(0, p.width, columns)
 
 
 def hashed(rows: DataFrame, p: StableParams) -> DataFrame:
@@ -64,17 +93,13 @@ def hashed(rows: DataFrame, p: StableParams) -> DataFrame:
             labels = batch.column("label").to_pylist()
             by_size: dict[int, list[int]] = {}
             for i, v in enumerate(vectors):
-                if usable(v):
+                if usable(v, p.most):
                     by_size.setdefault(len(v), []).append(i)
             for size, kept in by_size.items():
-                if size not in drawn:
-                    rng = np.random.default_rng([p.seed, size])
-                    drawn[size] = rng.standard_normal((size, p.tables * p.together)), rng.uniform(0, p.width, p.tables * p.together)
-                directions, shifts = drawn[size]
                 x = np.array([vectors[i] for i in kept], np.float64)
                 unit = x / np.abs(x).max(1, keepdims=True)
                 unit /= np.linalg.norm(unit, axis=1, keepdims=True)
-                quanta = np.floor((unit @ directions + shifts) / p.width).astype(np.int64).view(np.uint64)
+                quanta = np.floor(projected(unit, p, drawn) / p.width).astype(np.int64).view(np.uint64)
                 codes = (quanta.reshape(len(kept), p.tables, p.together) * factors).sum(2)
                 own = np.array([xxhash.xxh3_64_intdigest(f"{labels[i]}|{size}") for i in kept], np.uint64)
                 keys = mixed(codes + mixed(own[:, None] + np.arange(p.tables, dtype=np.uint64)))
@@ -141,7 +166,7 @@ def near_vectors(rows: DataFrame, p: StableParams = StableParams()) -> DataFrame
     Only vectors with equal labels that are not NULL are compared, and only those of one length. Equal
     vectors of a label form one class with a weight before anything is hashed into buckets, so copies
     are never compared. A pair is counted in the first table where it meets, inside blocks; only counts
-    and the smallest node reached leave a block, never pairs. Vectors that are NULL, empty, zero, of 32,768 components or more, or hold NULL or
+    and the smallest node reached leave a block, never pairs. Vectors that are NULL, empty, zero, of 16,777,216 components or more (see `most`), or hold NULL or
     non-finite components link with nothing, as do rows without vec_id or label. Rows that repeat a vec_id with
     an equal vector are one vector.
     """
@@ -153,9 +178,9 @@ def near_vectors(rows: DataFrame, p: StableParams = StableParams()) -> DataFrame
     heads = vectors.join(classes, "digest").where("vec_id = node").dropDuplicates(["node", "digest"])
     heads = saved(heads.select("node", "weight", "label", "size", "vector", "keys"), "heads")
     spread = heads.select("node", "size", F.posexplode("keys").alias("table", "code"))
-    spread = spread.select("node", F.expr("shiftleft(cast(code AS long), 32) | shiftleft(cast(table AS long), 16) | cast(size AS long)").alias("key"))
+    spread = spread.select("node", F.expr(f"shiftleft(cast(code AS long), 32) | shiftleft(cast(table AS long), {32 - p.table_bits}) | cast(size AS long)").alias("key"))
     placed = crowded(spread, p.block).join(heads.select("node", "weight", "label", "vector", "keys"), "node")
-    placed = placed.withColumn("table", F.expr("cast(shiftright(key, 16) & 65535 AS int)"))
+    placed = placed.withColumn("table", F.expr(f"cast(shiftright(key, {32 - p.table_bits}) & {2**p.table_bits - 1} AS int)"))
     found = saved(linked_counts(meetings(placed), p), "linked")
     reached = components(found.select(F.col("node").alias("a"), F.col("least").alias("b")))
     counts = found.groupBy("node").agg(F.sum("links").alias("links"))
