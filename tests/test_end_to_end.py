@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 import pytest
@@ -166,3 +167,15 @@ def test_no_engine_long_enough(spark, tmp_path):
     write_fleet(tmp_path / "train_FD001.txt", [5, 6])
     with pytest.raises(ValueError, match="at least 30 cycles"):
         prepare(spark, str(tmp_path), params(), as_of=AS_OF)
+
+
+def test_writers_that_promote_at_once_get_versions_of_their_own(spark, tmp_path):
+    ledgers = [Ledger(spark, str(tmp_path)) for _ in range(4)]
+    with ThreadPoolExecutor(4) as pool:
+        given = list(pool.map(lambda i: ledgers[i % 4].promote("_a/model", f"run-{i}"), range(12)))
+    assert sorted(given) == list(range(1, 13))
+    rows = ledgers[0].promotions().collect()
+    assert {(r["version"], r["run_id"]) for r in rows} == {(v, f"run-{i}") for i, v in enumerate(given)} and len(rows) == 12
+    assert ledgers[1].promote("other", "run-x") == 1
+    (tmp_path / "claims" / "model-other" / "2").touch()  # its writer was lost before the row
+    assert ledgers[2].promote("other", "run-y") == 3

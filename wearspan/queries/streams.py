@@ -11,7 +11,7 @@ from wearspan.schemas import CORRUPT_COLUMN, CYCLE, ENTITY
 from wearspan.session import scratch_path
 from wearspan.sources import derived
 from wearspan.sources.bindings import event_telemetry, table
-from wearspan.sources.ledger import Champion
+from wearspan.sources.ledger import Champion, NoChampion
 from wearspan.sources.requests import request_json, stream_requests
 from wearspan.streaming.live_windows import STATE_STORE, drain, live_windows, start_distinct
 from wearspan.streaming.requests import BatchChampion, start_quarantine, start_scoring
@@ -205,3 +205,30 @@ def stream_scoring(spark, sf_dir):
     return spark.read.parquet(answers).groupBy("model_version").agg(
         F.count(F.lit(1)).alias("answered")
     )
+
+
+@query(
+    "scr_4_waiting_requests",
+    """SELECT engine_id, count(*) AS waiting, CAST(sum(CASE WHEN vec_id % 23 = 0 THEN 0 ELSE 8 END) AS BIGINT) AS steps
+FROM requests GROUP BY engine_id""",
+    ("requests",),
+)
+def waiting_requests(spark, sf_dir):
+    """Without a champion nothing is answered or refused: all requests wait, broken ones too."""
+
+    def none_yet():
+        raise NoChampion("nothing was promoted")
+
+    pending = scratch_path(spark, "stream-waiting")
+    query_ = start_scoring(
+        stream_requests(spark, request_folder(spark, sf_dir)),
+        BatchChampion(look_up=none_yet),
+        scratch_path(spark, "waiting-answers"),
+        scratch_path(spark, "waiting-refused"),
+        pending,
+        scratch_path(spark, "waiting-state"),
+    )
+    query_.awaitTermination()
+    return spark.read.parquet(pending).groupBy("engine_id").agg(
+        F.count(F.lit(1)).alias("waiting"), F.sum(F.size("readings")).alias("steps")
+    )

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import UTC, datetime
+from urllib.parse import quote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.sql import DataFrame, SparkSession
@@ -53,7 +55,7 @@ class Ledger:
 
     def _table(self, name: str, schema: T.StructType) -> DataFrame:
         try:
-            return self.spark.read.schema(schema).parquet(f"{self.root}/{name}")
+            return self.spark.read.schema(schema).option("recursiveFileLookup", True).parquet(f"{self.root}/{name}")
         except AnalysisException as error:
             if "PATH_NOT_FOUND" not in (error.getCondition() or ""):
                 raise
@@ -131,15 +133,40 @@ class Ledger:
         self._append([(run_id, window, width, scaler.count())], MODEL_SHAPES, "shapes")
 
     def promote(self, model_name: str, run_id: str, at: datetime | None = None) -> int:
-        """Register the next version of a model and make it the champion."""
+        """Register the next version of a model and make it the champion.
+
+        Writers may promote at the same time: a number belongs to the one who creates its claim, the others
+        take the next, and each writes a folder of its own. A writer that is lost in between leaves a number
+        without a promotion; it is not given again.
+        """
         last = (
             self.promotions().filter(F.col("model_name") == model_name).agg(F.max("version")).first()[0]
         )
         version = (last or 0) + 1
+        folder = f"model-{quote(model_name, safe='')}"
+        while not self._claim(f"{self.root}/claims/{folder}", version):
+            version += 1
         at = at or datetime.now(UTC).replace(tzinfo=None)
-        self._append([(model_name, version, run_id, at)], PROMOTIONS, "promotions")
+        self._append([(model_name, version, run_id, at)], PROMOTIONS, f"promotions/{folder}/{version}")
         return version
 
+    def _claim(self, folder: str, version: int) -> bool:
+        """Whether this call created the claim of a version. File systems refuse to create a file twice; the local one
+        only checks before it creates, so there the file is made by the operating system."""
+        jvm = self.spark._jvm
+        path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{version}")
+        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        files.mkdirs(path.getParent())
+        if files.getUri().getScheme() == "file":
+            return jvm.java.io.File(path.toUri().getPath()).createNewFile()
+        try:
+            files.create(path, False).close()
+        except Py4JJavaError:
+            if not files.exists(path):
+                raise
+            return False
+        return True
+
     def champion(self, model_name: str, default_window: int) -> Champion:
         """Resolve the champion to one version and load that version's artifacts."""
         row = champions(self.promotions().filter(F.col("model_name") == model_name)).first()
