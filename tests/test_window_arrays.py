@@ -54,3 +54,13 @@ def test_the_text_source_reads_each_part_once(spark, small_dir):
     folder = text_files(spark, small_dir)
     lines = spark.read.text(f"{folder}/train_FD00*.txt")
     assert lines.count() == spark.read.parquet(f"{small_dir}/lineitem.parquet").count()
+
+
+def test_lines_are_trimmed_as_by_a_regular_expression(spark):
+    from wearspan.sources.text import tokens
+
+    texts = ["", " ", "\t\x0b 1 2\f\r", "1  2\t3", "\u00a01 2\u00a0", " a", "a "]
+    df = spark.createDataFrame([(t,) for t in texts], "value string")
+    plain = F.split(F.regexp_replace("value", r"^\s+|\s+$", ""), r"\s+")
+    assert df.filter(~tokens(F.col("value")).eqNullSafe(plain)).count() == 0
+    assert "regexp_replace" not in df.select(tokens(F.col("value")))._jdf.queryExecution().executedPlan().toString()

@@ -22,10 +22,9 @@ from wearspan.sources.text import (
 
 def text_files(spark, sf_dir) -> str:
     """Telemetry written as text, one path per sub-dataset; the other sensors repeat the first."""
-    rows = telemetry(spark, sf_dir)
-    full = written(
-        rows.withColumns({f"sensor_{i}": F.col("sensor_1") * i for i in range(6, 22)}), "lines"
-    )
+    # Written by sub-dataset, so that each file's job reads its own part only; what repeats is made while lines are written.
+    parts = written(telemetry(spark, sf_dir), "lines", "dataset_id")
+    full = parts.withColumns({f"sensor_{i}": F.col("sensor_1") * i for i in range(6, 22)})
     folder = scratch_path(spark, "text")
     for dataset in SUB_DATASETS:
         write_lines(full.filter(F.col("dataset_id") == dataset), f"{folder}/train_{dataset}.txt")

@@ -11,10 +11,12 @@ from wearspan.schemas import ENTITY, LINE_COLUMNS, SUB_DATASETS
 
 FILE_GLOB = "train_{" + ",".join(SUB_DATASETS) + "}.txt"
 TOKENS = "_tokens"
+# What a regular expression takes as white space; a line is trimmed of it without one.
+BLANKS = " \t\n\x0b\f\r"
 
 
 def tokens(line: Column) -> Column:
-    return F.split(F.regexp_replace(line, r"^\s+|\s+$", ""), r"\s+")
+    return F.split(F.btrim(line, F.lit(BLANKS)), r"\s+")
 
 
 def read_lines(spark: SparkSession, data_dir: str) -> DataFrame:
@@ -30,7 +32,7 @@ def read_lines(spark: SparkSession, data_dir: str) -> DataFrame:
         raise FileNotFoundError(f"no telemetry file {FILE_GLOB} in {data_dir}") from error
     dataset = F.regexp_extract("_metadata.file_path", r"train_(FD\d{3})\.txt", 1)
     return lines.select("value", dataset.alias("dataset_id")).filter(
-        F.regexp_replace("value", r"\s+", "") != ""
+        F.col("value").rlike(r"\S")
     )
 
 
