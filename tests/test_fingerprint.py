@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from wearspan.functions.digests import float_bits
 from wearspan.operators.lineage import (
     LONGEST_WINDOW,
+    contents_of_series,
     digests_of_series,
     digests_of_windows,
     fingerprint,
@@ -20,6 +21,9 @@ from wearspan.operators.lineage import (
 from wearspan.operators.ranked import LongSeries, find_long_series
 from wearspan.operators.blocks import SplitPolicy
 from wearspan.operators.windows import indexed_windows
+from wearspan.queries import QUERIES
+from wearspan.queries.catalog import VARYING
+from wearspan.sources.bindings import labeled
 
 FEATURES = ["sensor_1", "sensor_2"]
 
@@ -122,3 +126,45 @@ def test_one_shuffle_and_no_collected_frames(spark):
     plan = digests_of_series(df, FEATURES, 30, LongSeries(None))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
     assert "collect_list" not in plan
+
+
+def whole_digests(rows, window):
+    """(engine, position, digest) of every window: the bits of all its values are hashed again for each window."""
+    series: dict[str, list] = {}
+    for r in rows:
+        series.setdefault(r[2], []).append(r)
+    out = []
+    for name, items in series.items():
+        items.sort(key=lambda r: (r[1], *r[3:-1]))
+        bits = [[str(int(np.float32(v).view(np.uint32))) for v in r[3:-1]] for r in items]
+        for first in range(len(items) - window + 1):
+            values = ",".join(b for row in bits[first : first + window] for b in row)
+            out.append((name, first, sha(f"{first}|{items[first + window - 1][-1]}|{values}|{name}")))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("window", [1, 7, 90])
+@pytest.mark.parametrize("limit", [40, 10**6])
+def test_contents_of_a_series_hash_every_window_whole(spark, window, limit):
+    rows = [(*r[:5], int(r[4] * 3)) for r in uneven_series()]
+    df = spark.createDataFrame(rows, CLEAN).repartition(3)
+    long = find_long_series(df, "global_unit", "time_in_cycles", SplitPolicy(rows_per_block=limit))
+    got = contents_of_series(df, FEATURES, window, long)
+    assert sorted((r["engine_id"], r["window_index"], r["_d"]) for r in got.collect()) == whole_digests(rows, window)
+
+
+def test_the_queries_hash_all_values_of_every_window(spark, small_dir):
+    columns = ["unit_number", "time_in_cycles", "global_unit", *VARYING, "failure_type"]
+    digests = whole_digests([tuple(r) for r in labeled(spark, small_dir).select(*columns).collect()], 30)
+    engines: dict[str, list] = {}
+    for name, _, digest in digests:
+        engines.setdefault(name, []).append(digest)
+
+    def total(found):
+        limbs = [sum(int(d[15 * k : 15 * k + 15], 16) for d in found) for k in range(4)]
+        return sha("|".join(map(str, [len(found), *limbs])))
+
+    got = {r["engine_id"]: (r["rows"], r["digest"]) for r in QUERIES["agg_16_engine_digests"](spark, small_dir).collect()}
+    assert got == {name: (len(found), total(found)) for name, found in engines.items()}
+    print_of_all = sha(total([d for _, _, d in digests]) + "|val=200000;test=200000;seed=42;" + ",".join(VARYING))
+    assert QUERIES["agg_16_fingerprint"](spark, small_dir).first()["fingerprint"] == print_of_all

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wearspan.operators.labeling import drop_duplicate_rows, last_cycles, sensor_spread
-from wearspan.operators.lineage import DIGEST, digest_total, digests_of_series, fingerprint
+from wearspan.operators.lineage import DIGEST, contents_of_series, digest_total, fingerprint
 from wearspan.operators.metrics import (
     average_f1,
     baseline,
@@ -294,14 +294,9 @@ def log_loss(spark, sf_dir):
 
 # Bits by the engine's own cast, against the arithmetic of the operator.
 _BITS = " || ',' || ".join(f"CAST(CAST(CAST(CAST({c} AS FLOAT) AS BIT) AS BIGINT) AS VARCHAR)" for c in VARYING)
-_SUMS = " || '|' || ".join(
-    f"CAST(CAST(sum(CAST(('0x' || substr(rd, {12 * i + 1}, 12)) AS BIGINT)) OVER ({SERIES} ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS BIGINT) AS VARCHAR)"
-    for i in range(5)
-)
-_DIGESTS = f"""(SELECT global_unit, sha256(CAST(position - 30 AS VARCHAR) || '|' || CAST(failure_type AS VARCHAR) || '|' || sums || '|' || global_unit) AS d
-  FROM (SELECT global_unit, failure_type, position, {_SUMS} AS sums
-        FROM (SELECT *, sha256(CAST(position AS VARCHAR) || '|' || {_BITS}) AS rd
-              FROM (SELECT *, row_number() OVER ({SERIES}) AS position FROM lab)))
+_DIGESTS = f"""(SELECT global_unit, sha256(CAST(position - 30 AS VARCHAR) || '|' || CAST(failure_type AS VARCHAR) || '|' || array_to_string(bits, ',') || '|' || global_unit) AS d
+  FROM (SELECT global_unit, failure_type, row_number() OVER ({SERIES}) AS position,
+               list({_BITS}) OVER ({SERIES} ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS bits FROM lab)
   WHERE position >= 30)"""
 _LIMBS = " || '|' || ".join(
     f"CAST(sum(CAST(('0x' || substr(d, {15 * i + 1}, 15)) AS HUGEINT)) AS VARCHAR)" for i in range(4)
@@ -311,7 +306,7 @@ _LIMBS = " || '|' || ".join(
 def _digests(spark, sf_dir):
     rows, plan = labeled_series(spark, sf_dir)
     # A plan says that the size check of the line items found nothing to cut.
-    return digests_of_series(rows, VARYING, 30, LongSeries(None) if plan else None)
+    return contents_of_series(rows, VARYING, 30, LongSeries(None) if plan else None)
 
 
 @query(
@@ -320,7 +315,7 @@ def _digests(spark, sf_dir):
     ("lab",),
 )
 def engine_digests(spark, sf_dir):
-    """Digest of all windows of an engine, rolled along its rows."""
+    """Digest of all windows of an engine, each hashed whole."""
     return digest_total(_digests(spark, sf_dir), DIGEST, ["engine_id"])
 
 
