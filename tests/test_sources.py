@@ -1,14 +1,16 @@
 from __future__ import annotations
 
 from datetime import datetime
+from pathlib import Path
 
 import pytest
-from helpers import write_fleet
+from helpers import one_engine, write_fleet
+from pyarrow import parquet
 from pyspark.sql import functions as F
 
 from wearspan.operators.contracts import ContractError, check
 from wearspan.params import JobParams
-from wearspan.plans.features import TEXT_TELEMETRY
+from wearspan.plans.features import TEXT_TELEMETRY, write_features
 from wearspan.schemas import CORRUPT_COLUMN, LINE_COLUMNS, WINDOW_TABLE
 from wearspan.session import attach, scratch_path, shared_dir, written
 from wearspan.sources.requests import parse_request, read_requests
@@ -167,3 +169,29 @@ def test_requests_keep_the_types_they_were_written_with(spark, tmp_path):
     assert sorted(kept, key=str) == sorted([("5", "[[1.0, 2.5]]"), (None, "[[nan]]"), (None, "[]"), ("e", "None")], key=str)
     held = spark.createDataFrame([(None,), (bad[0],)], "text string").select(parse_request(F.col("text")).alias("r")).collect()
     assert held[0]["r"] is None and held[1]["r"].asDict() == {"engine_id": None, "readings": None, "_corrupt_record": bad[0]}
+
+
+def test_built_windows_are_written_as_plain_values(spark, tmp_path):
+    path = write_features(one_engine(spark), str(tmp_path), JobParams(window_size=2), as_of=NOW)
+    assert spark.conf.get("spark.sql.parquet.writeLegacyFormat") == "false"
+    values = [
+        group.column(i)
+        for file in Path(path).glob("*.parquet")
+        for meta in [parquet.ParquetFile(file).metadata]
+        for group in map(meta.row_group, range(meta.num_row_groups))
+        for i in range(group.num_columns)
+        if group.column(i).path_in_schema.startswith("windowed_features")
+    ]
+    assert values and {v.path_in_schema for v in values} == {"windowed_features.array"}
+    assert not any("DICTIONARY" in e for v in values for e in v.encodings)
+    rows = read_windows(spark, str(tmp_path)).orderBy("event_timestamp").collect()
+    steps = [[1.5, -1.5, 75.0, gauge] for gauge in (41.5, 41.75, 43.0, 60.25)]
+    assert [r["windowed_features"] for r in rows] == [steps[i] + steps[i + 1] for i in range(3)]
+
+
+def test_a_feature_outside_the_contract_keeps_its_missing_values(spark, tmp_path):
+    raw = one_engine(spark).withColumn("humidity", F.when(F.col("time_in_cycles") != 5, 0.5))
+    write_features(raw, str(tmp_path), JobParams(window_size=2), as_of=NOW)
+    rows = read_windows(spark, str(tmp_path)).orderBy("event_timestamp").collect()
+    position = feature_names(read_manifest(spark, str(tmp_path))).index("humidity")
+    assert [r["windowed_features"][position] for r in rows] == [0.5, None, 0.5]
