@@ -64,3 +64,21 @@ def test_scaler_reads_and_shuffles_the_rows_once(spark, tmp_path):
     assert "Exchange hashpartitioning(global_unit" in text and "Exchange hashpartitioning(_weight" in text
     assert hash_exchanges(text) == 2 and text.count("Sort [") == 1
     assert text.index("partial_avg") > text.index("Exchange hashpartitioning(_weight")
+
+
+def test_numbering_and_labels_share_one_exchange(spark, small_dir):
+    rows, plan = labeled_series(spark, small_dir)
+    assert plan.partition_keys == ["global_unit"]
+    assert hash_exchanges(physical(rows)) == 1
+    assert hash_exchanges(physical(rows.dropDuplicates())) == 1
+
+
+def test_many_rows_are_dealt_out_once_for_numbering_and_labels(spark, small_dir):
+    spark.conf.set("spark.wearspan.rowsPerTask", "500")
+    try:
+        text = physical(labeled_series(spark, small_dir)[0].dropDuplicates())
+    finally:
+        spark.conf.unset("spark.wearspan.rowsPerTask")
+    lines = table(spark, small_dir, "lineitem").count()
+    assert hash_exchanges(text) == 1
+    assert "Exchange hashpartitioning(global_unit" in text and f", {-(-lines // 500)}), REPARTITION_BY_NUM" in text
