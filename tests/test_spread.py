@@ -6,6 +6,8 @@ import re
 
 import pytest
 
+from wearspan import session
+from wearspan.operators import windows
 from wearspan.operators.labeling import drop_duplicate_rows
 from wearspan.queries import QUERIES
 from wearspan.queries.series import indexed_clean, windows_of_30
@@ -63,6 +65,36 @@ def test_long_series_are_dealt_as_well(spark, small_dir, small_share):
         spark.conf.unset("spark.wearspan.rowsPerBlock")
 
 
+@pytest.fixture
+def many_engines(spark, monkeypatch):
+    """Every table of engines counts as too large to be broadcast."""
+    for module in (session, windows):
+        monkeypatch.setattr(module, "BROADCAST_ROWS", 0, raising=False)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_many_engines_meet_their_rows_without_an_exchange_of_their_own(spark, small_dir, small_share, many_engines):
+    text = indexed_clean(spark, small_dir)._jdf.queryExecution().executedPlan().toString()
+    by_engine = [int(n) for n in re.findall(r"Exchange hashpartitioning\(global_unit#\d+, (\d+)\)", text)]
+    # One exchange of the rows and one of the engines, both dealt by the number of rows.
+    assert len(by_engine) == 2 and min(by_engine) >= rows_of(spark, small_dir) // small_share
+
+
+@pytest.mark.parametrize("rows_per_block", [None, "150"])
+def test_many_engines_give_the_same_windows(spark, small_dir, small_share, rows_per_block, request):
+    if rows_per_block:
+        spark.conf.set("spark.wearspan.rowsPerBlock", rows_per_block)
+    try:
+        few = sorted(indexed_clean(spark, small_dir).collect())
+        request.getfixturevalue("many_engines")
+        many = sorted(indexed_clean(spark, small_dir).collect())
+    finally:
+        spark.conf.unset("spark.wearspan.rowsPerBlock")
+    assert few and many == few
+
+
 def test_rows_are_the_same(spark, small_dir, small_share):
     names = ["agg_16_engine_digests", "win_4_dense_window_index", "set_2_distinct_rows"]
     dealt = {n: sorted(QUERIES[n](spark, small_dir).collect()) for n in names}
