@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wearspan.operators.scaling import scale_window_table
+from wearspan.operators.linear import of_regression, score_window_table
 from wearspan.operators.scoring import accepted_and_rejected, request_columns, responses, score_windows
 from wearspan.sources.ledger import Champion, Ledger
 
@@ -34,9 +34,8 @@ def score_requests(requests: DataFrame, champion: Champion) -> Scored:
 
 def score_table(windows: DataFrame, champion: Champion) -> DataFrame:
     """Answers for a window table whose shape is checked once, by its contract."""
-    scaled = scale_window_table(windows.select("engine_id", "windowed_features"), champion.scaler)
-    scored = score_windows(scaled, champion.model, None, "windowed_features")
-    return responses(scored, champion.version)
+    rows = windows.select("engine_id", "windowed_features")
+    return responses(score_window_table(rows, of_regression(champion.model), champion.scaler), champion.version)
 
 
 def score(requests: DataFrame, ledger: Ledger, model_name: str, default_window: int) -> Scored:
