@@ -9,12 +9,13 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+import wearspan.operators.training as training
 from wearspan.operators.lineage import digests_of_packed, digests_of_series, digests_of_windows
 from wearspan.operators.linear import of_regression, score_window_table
 from wearspan.operators.packed import pack_windows
 from wearspan.operators.scaling import ScalerState, scale_flat
 from wearspan.operators.scoring import score_windows
-from wearspan.operators.training import fit_candidate, score_packed
+from wearspan.operators.training import fit_candidate, fit_candidates, score_packed
 from wearspan.operators.weights import weight_column
 from wearspan.operators.windows import indexed_windows
 from wearspan.params import JobParams
@@ -108,6 +109,19 @@ def test_the_model_is_that_of_spark_ml(spark, classes, reg, max_iter):
     assert answers[0] == answers[1] == answers[2]
 
 
+def test_all_candidates_share_their_passes(spark, monkeypatch):
+    passes = []
+    real = training._gradients
+    monkeypatch.setattr(training, "_gradients", lambda *a: passes.append(len(a[-1])) or real(*a))
+    packed = pack_windows(spark.createDataFrame(series(), WINDOWS), 3).cache()
+    alone = [of_regression(fit_candidates(packed, STATE, WEIGHTS, (reg,), 5)[0]) for reg in (0.01, 0.1, 1.0)]
+    single = len(passes)
+    together = [of_regression(m) for m in fit_candidates(packed, STATE, WEIGHTS, (0.01, 0.1, 1.0), 5)]
+    assert len(passes) - single < single / 2 and max(passes) == 3
+    for a, b in zip(alone, together, strict=True):
+        np.testing.assert_allclose(a.weights, b.weights, rtol=1e-9, atol=1e-12)
+
+
 @pytest.mark.parametrize("row", [("e", 0, None, [1.0] * 12), ("e", 0, -1, [1.0] * 12), ("e", 0, 1, [float("nan")] * 12), ("e", 0, 1, [1.0] * 9)])
 def test_what_no_model_can_learn_from_is_refused(spark, row):
     df = spark.createDataFrame([*series(20), row], WINDOWS)
